@@ -25,13 +25,18 @@ SESSION_DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",
     "spark.sql.parquet.compression.codec": "zstd",
+    # Wide projections (34 text columns) generate one method per stage; above
+    # ~8 KB of bytecode the JVM will not JIT it, so fall back to per-operator
+    # code generation there instead of running interpreted bytecode.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     "spark.ui.enabled": "false",
 }
 
 
 def get_spark(master: str | None = None, app_name: str = "indistar",
               shuffle_partitions: int | None = None,
-              extra: dict[str, str] | None = None) -> SparkSession:
+              extra: dict[str, str] | None = None,
+              driver_memory: str | None = "16g") -> SparkSession:
     """Return the active session or build one with :data:`SESSION_DEFAULTS`.
 
     An already-running session is returned unchanged apart from filling unset
@@ -45,6 +50,9 @@ def get_spark(master: str | None = None, app_name: str = "indistar",
         conf = dict(SESSION_DEFAULTS)
         if shuffle_partitions is not None:
             conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+        if driver_memory and master and master.startswith("local"):
+            # local mode runs every task in the driver JVM
+            conf["spark.driver.memory"] = driver_memory
         conf.update(extra or {})
         for key, value in conf.items():
             builder = builder.config(key, value)

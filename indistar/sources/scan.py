@@ -1,0 +1,23 @@
+"""Scan-side helpers.
+
+:func:`spread` gives an under-split input the cluster's parallelism. A large
+Parquet dataset already has one split per row group (thousands at 100 TB),
+and then nothing happens; a single-row-group file, or a multi-line CSV (which
+cannot be split), would otherwise run everything fused into its scan stage,
+including pushed-down filters and broadcast joins, in one task.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin repartition only when the scan has fewer splits than cores.
+
+    Counting splits plans the scan (a file listing); it runs no job.
+    """
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target)

@@ -9,8 +9,9 @@ value columns deliberately carry the text shapes the staging rules exist for
 confidence limits, missing coordinates, half-filled strata slots).
 
 Plan shape: ``orders`` is joined to ``customer`` and ``nation`` first (the
-narrow side), then ``lineitem`` joins that on the order key and ``part`` on the
-part key. All scans read only the listed columns (Parquet column pruning). The
+narrow side), then ``lineitem`` joins that on the order key (a shuffle join,
+see :func:`observations`) and ``part`` on the part key. All scans read only the
+listed columns (Parquet column pruning). For the dimension-like joins the
 planner broadcasts a side when its size estimate is under
 ``spark.sql.autoBroadcastJoinThreshold`` (``nation`` always is) and otherwise
 sort-merge joins, with AQE splitting skewed keys; no broadcast is forced.
@@ -34,14 +35,24 @@ def _idiv(c: Column, n: int) -> Column:
     return (c / F.lit(n)).cast("bigint")
 
 
+def _digits(c: Column, width: int) -> Column:
+    return F.lpad(c.cast("string"), width, "0")
+
+
 def plain_amount(cents: Column) -> Column:
-    """``123456`` cents -> ``'1234.56'``."""
-    return F.format_string("%d.%02d", _idiv(cents, 100), cents % 100)
+    """``123456`` cents -> ``'1234.56'``.
+
+    Built from integer casts and ``lpad`` rather than ``format_string``:
+    those stay in generated code, where a per-row ``String.format`` call
+    costs several times the whole rest of the adapter.
+    """
+    return F.concat(_idiv(cents, 100).cast("string"), F.lit("."), _digits(cents % 100, 2))
 
 
 def comma_amount(cents: Column) -> Column:
     """``123456`` cents -> ``'1,234.56'`` (one separator: amounts < 10^8 cents)."""
-    return F.format_string("%d,%03d.%02d", _idiv(cents, 100000), _idiv(cents, 100) % 1000, cents % 100)
+    return F.concat(_idiv(cents, 100000).cast("string"), F.lit(","),
+                    _digits(_idiv(cents, 100) % 1000, 3), F.lit("."), _digits(cents % 100, 2))
 
 
 def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -59,7 +70,12 @@ def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
                   .join(nation, F.col("c_nationkey") == nation.n_nationkey)
                   .select("o_orderkey", "o_orderstatus", "o_orderpriority", "c_mktsegment",
                           "n_nationkey", "n_name"))
-    return (li
+    # Both sides of the order-key join grow with the data, so it is a
+    # shuffle join: the MERGE hint stops the planner from picking the fact
+    # side as a broadcast build side off a per-scan size estimate (the
+    # joined order side's estimate is a product of sizes, so it always looks
+    # bigger). AQE still splits skewed order keys.
+    return (li.hint("merge")
             .join(order_side, li.l_orderkey == order_side.o_orderkey)
             .join(part, li.l_partkey == part.p_partkey))
 
@@ -110,8 +126,9 @@ def raw_from_star(spark: SparkSession, sf_dir: str) -> DataFrame:
         "Stratification2": F.when(even | (line == 5), F.col("c_mktsegment")).otherwise(blank),
         "StratificationCategory3": F.when(third, F.lit("Status")).otherwise(blank),
         "Stratification3": F.when(third | (line == 1), F.col("o_orderstatus")).otherwise(blank),
-        "Geolocation": F.when(key % 6 == 0, blank).otherwise(F.format_string(
-            "POINT (-%d.5 %d.25)", key + 70, key + 20)),
+        "Geolocation": F.when(key % 6 == 0, blank).otherwise(F.concat(
+            F.lit("POINT (-"), (key + 70).cast("string"), F.lit(".5 "),
+            (key + 20).cast("string"), F.lit(".25)"))),
         "ResponseID": by_line({6: F.lit("R1")}),
         "LocationID": key.cast("string"),
         "TopicID": topic_id,
