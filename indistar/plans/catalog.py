@@ -12,9 +12,18 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-
-from indistar.functions.scalars import stable_round
-from indistar.plans import dims, facts, marts, staging
+from pyspark.sql import functions as F
+
+from indistar.functions.scalars import (blank_to_null, default_label, indicator,
+                                        normalize_number_columns, point_lat, point_lon,
+                                        stable_round, surrogate_key)
+from indistar.operators import quality, upsert
+from indistar.plans import dims, facts, job, marts, staging
+from indistar.session import work_dir
+from indistar.sources import publish
+from indistar.sources.contract import RAW_COLUMNS
+from indistar.sources.csv import read_raw_csv, write_raw_csv
+from indistar.sources.landing import land_raw
 from indistar.sources.star import raw_from_star
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -91,6 +100,226 @@ def mart_year_state(spark, sf_dir):
                     stable_round("avg_high_ci").alias("avg_high_ci"))
 
 
+# ---------------------------------------------------------------- scalar rules
+
+def number_normalise(spark, sf_dir, strip: str = "first"):
+    """Raw value texts and their parsed numbers."""
+    raw = raw_from_star(spark, sf_dir)
+    return raw.select(
+        F.col("DataValue").alias("data_value_text"),
+        F.col("DataValueAlt").alias("data_value_alt_text"),
+        F.col("LowConfidenceLimit").alias("low_ci_text"),
+        F.col("HighConfidenceLimit").alias("high_ci_text"),
+        normalize_number_columns(raw, "DataValue", "DataValueAlt", strip=strip).alias("value"),
+        normalize_number_columns(raw, "LowConfidenceLimit", strip=strip).alias("low_ci"),
+        normalize_number_columns(raw, "HighConfidenceLimit", strip=strip).alias("high_ci"))
+
+
+def number_normalise_all(spark, sf_dir):
+    """P13 variant: every '%' / ',' removed (the evident intent)."""
+    return number_normalise(spark, sf_dir, strip="all")
+
+
+# Columns the clean model blanks to NULL (P11), raw name -> output name.
+BLANKED = ("Response", "DataValueUnit", "DataValueFootnoteSymbol", "DataValueFootnote",
+           "LocationID", "TopicID", "QuestionID", "ResponseID", "DataValueTypeID",
+           "StratificationCategory2", "Stratification2", "StratificationCategory3",
+           "Stratification3", "StratificationCategoryID1", "StratificationID1",
+           "StratificationCategoryID2", "StratificationID2", "StratificationCategoryID3",
+           "StratificationID3")
+
+
+def blank_to_null_counts(spark, sf_dir):
+    """NULLs per blanked column and 'Overall' labels, over all raw rows."""
+    raw = raw_from_star(spark, sf_dir)
+    return raw.agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        *[F.count(F.when(blank_to_null(c).isNull(), 1)).alias(f"n_null_{c.lower()}")
+          for c in BLANKED],
+        F.count(F.when(default_label("StratificationCategory1") == "Overall", 1)
+                ).alias("n_overall_category"),
+        F.count(F.when(default_label("Stratification1") == "Overall", 1)
+                ).alias("n_overall_subcategory"))
+
+
+def point_lon_lat(spark, sf_dir):
+    """Coordinates from every raw point text."""
+    raw = raw_from_star(spark, sf_dir)
+    return raw.select(F.col("Geolocation").alias("geolocation"),
+                      point_lon("Geolocation").alias("lon"), point_lat("Geolocation").alias("lat"))
+
+
+def indicator_name(spark, sf_dir):
+    """Distinct (topic, question, indicator_name)."""
+    c = _clean(spark, sf_dir)
+    return c.select("topic", "question", indicator("topic", "question").alias("indicator_name")
+                    ).distinct()
+
+
+def surrogate_keys(spark, sf_dir):
+    """Key parts and the observation key of every clean row."""
+    c = _clean(spark, sf_dir)
+    return c.select(*facts.OBS_KEY, surrogate_key(*facts.OBS_KEY).alias("obs_sk"))
+
+
+# ---------------------------------------------------------------- sources / sinks
+
+def scan_csv_roundtrip(spark, sf_dir):
+    """Raw rows written as CSV, read back under the contract."""
+    path = work_dir(spark, "csv")
+    write_raw_csv(raw_from_star(spark, sf_dir), path)
+    back = read_raw_csv(spark, path, require_rows=True)
+    return back.select([blank_to_null(c).alias(c) for c in RAW_COLUMNS])
+
+
+def _landing_summary(df: DataFrame, step: str, landed_now: bool) -> DataFrame:
+    return df.agg(F.lit(step).alias("step"), F.lit(landed_now).alias("landed_now"),
+                  F.count(F.lit(1)).alias("n_rows"),
+                  F.min("YearStart").alias("min_year"), F.max("YearStart").alias("max_year"),
+                  F.countDistinct("QuestionID").alias("n_questions"))
+
+
+def land_raw_idempotent(spark, sf_dir):
+    """Land extract A; landing B without force is skipped; with force B replaces A.
+
+    A and B are the two halves of the raw rows split by year (together the
+    whole table). Each step's summary is written before the next step runs.
+    """
+    raw = raw_from_star(spark, sf_dir)
+    a = raw.where(F.col("YearStart") <= "1997")
+    b = raw.where(F.col("YearStart") > "1997")
+    root = work_dir(spark, "landing")
+    target = f"{root}/raw"
+    summaries = []
+    for step, rows, force in (("first", a, False), ("skip", b, False), ("force", b, True)):
+        landed, now = land_raw(rows, target, force=force)
+        out = f"{root}/summary_{step}"
+        _landing_summary(landed, step, now).write.mode("overwrite").parquet(out)
+        summaries.append(out)
+    result = spark.read.parquet(summaries[0])
+    for p in summaries[1:]:
+        result = result.unionByName(spark.read.parquet(p))
+    return result
+
+
+def _fact_batches(spark, sf_dir, strata: bool):
+    """Previous extract (years <= 2000) and a restated batch (years >= 2000).
+
+    The batch re-normalises numbers with every separator stripped, so its
+    values differ from the stored ones where the first-only rule fell back.
+    Together the two cover every observation.
+    """
+    first = _clean(spark, sf_dir)
+    restated = _clean(spark, sf_dir, strip="all")
+    if strata:
+        old = facts.fact_strat(facts.strata_long(first))
+        new = facts.fact_strat(facts.strata_long(restated))
+    else:
+        old, new = facts.fact_base(first), facts.fact_base(restated)
+    return old.where(F.col("year_start") <= 2000), new.where(F.col("year_start") >= 2000)
+
+
+def _upserted(spark, sf_dir, strata: bool):
+    key = "fact_strat_sk" if strata else "fact_sk"
+    old, batch = _fact_batches(spark, sf_dir, strata)
+    root = work_dir(spark, key)
+    upsert.upsert(old, root, key)
+    upsert.upsert(batch, root, key)
+    upsert.upsert(batch, root, key)   # the same batch again changes nothing
+    return upsert.read_current(spark, root)
+
+
+def upsert_fact_base(spark, sf_dir):
+    """N07/N08/J05 on fact_base: keyed replace, in-batch duplicates kept."""
+    return _upserted(spark, sf_dir, strata=False)
+
+
+def upsert_fact_strat(spark, sf_dir):
+    """N07/N08/J05 on fact_strat."""
+    return _upserted(spark, sf_dir, strata=True)
+
+
+PUBLISH_PREFIX = "published/marts/"
+
+
+def _published(spark, sf_dir) -> tuple[str, dict[str, str]]:
+    c = _clean(spark, sf_dir)
+    models = job.build_models(c)
+    root = work_dir(spark, "lake")
+    uris = publish.publish_all({n: models[n] for n in job.MART_NAMES}, root, PUBLISH_PREFIX)
+    return root, uris
+
+
+def publish_roundtrip(spark, sf_dir):
+    """Publish the marts under a prefix with a trailing '/', read one back."""
+    root, _ = _published(spark, sf_dir)
+    back = spark.read.parquet(publish.output_uri(root, PUBLISH_PREFIX, "agg_indicator_year_overall"))
+    return back.select("indicator_name", "year", stable_round("avg_value").alias("avg_value"),
+                       "n_obs")
+
+
+ADHOC_QUERY = """
+select state,
+       max(state_name)                as state_name,
+       count(*)                       as n_cells,
+       sum(record_count)              as n_records,
+       count(distinct indicator_name) as n_indicators,
+       min(year)                      as first_year,
+       max(year)                      as last_year
+from agg_indicator_year_state
+group by state
+"""
+
+
+def adhoc_sql(spark, sf_dir):
+    """Ad-hoc SQL over the published marts, registered as views."""
+    _, uris = _published(spark, sf_dir)
+    return publish.adhoc_sql(spark, uris, ADHOC_QUERY)
+
+
+def published_inventory(spark, sf_dir):
+    """What was published, per mart (sizes vary by writer: rows-only check)."""
+    root, _ = _published(spark, sf_dir)
+    return publish.inventory(spark, root, PUBLISH_PREFIX).select("mart", "n_files", "total_bytes")
+
+
+# ---------------------------------------------------------------- data quality
+
+def dq_not_null(spark, sf_dir):
+    """not_null(response_id) on the normalized model - the check left out of
+    the declared suite because the column is legitimately empty: its failures."""
+    return quality.not_null(staging.normalized(_clean(spark, sf_dir)), "response_id")
+
+
+def dq_unique(spark, sf_dir):
+    """unique(fact_base.fact_sk) - the incremental key is not unique."""
+    return quality.unique(facts.fact_base(_clean(spark, sf_dir)), "fact_sk")
+
+
+def dq_relationships(spark, sf_dir):
+    """dim_question.topic_id against a parent missing its first topic."""
+    c = _clean(spark, sf_dir)
+    topics = dims.topic(c)
+    first = topics.agg(F.min("topic_id").alias("first_topic"))
+    parent = topics.join(first, F.col("topic_id") == F.col("first_topic"), "left_anti")
+    return quality.relationships(dims.question(c), "topic_id", parent, "topic_id")
+
+
+DQ_COMBINATION = ("year_start", "year_end", "location_id", "topic_id", "question_id",
+                  "response_id", "value_type_id")
+
+
+def dq_unique_combination(spark, sf_dir):
+    """The fact key's parts (without state) as a combination key; NULLs group."""
+    return quality.unique_combination(facts.fact_base(_clean(spark, sf_dir)), DQ_COMBINATION)
+
+
+def dq_report(spark, sf_dir):
+    """The declared suite over every model, one row per check."""
+    models = job.build_models(_clean(spark, sf_dir))
+    return quality.run_checks(models, job.DECLARED_CHECKS)
+
+
 def queries() -> dict[str, Query]:
     out: dict[str, Query] = {
         "stg_raw": stg_raw,
@@ -107,5 +336,23 @@ def queries() -> dict[str, Query]:
         "mart_trend": mart_trend,
         "mart_year_overall": mart_year_overall,
         "mart_year_state": mart_year_state,
+        "number_normalise": number_normalise,
+        "number_normalise_all": number_normalise_all,
+        "blank_to_null": blank_to_null_counts,
+        "point_lon_lat": point_lon_lat,
+        "indicator_name": indicator_name,
+        "surrogate_keys": surrogate_keys,
+        "scan_csv_roundtrip": scan_csv_roundtrip,
+        "land_raw_idempotent": land_raw_idempotent,
+        "upsert_fact_base": upsert_fact_base,
+        "upsert_fact_strat": upsert_fact_strat,
+        "publish_roundtrip": publish_roundtrip,
+        "adhoc_sql": adhoc_sql,
+        "published_inventory": published_inventory,
+        "dq_not_null": dq_not_null,
+        "dq_unique": dq_unique,
+        "dq_relationships": dq_relationships,
+        "dq_unique_combination": dq_unique_combination,
+        "dq_report": dq_report,
     })
     return out
