@@ -223,6 +223,9 @@ def _upserted(spark, sf_dir, strata: bool):
     key = "fact_strat_sk" if strata else "fact_sk"
     old, batch = _fact_batches(spark, sf_dir, strata)
     root = work_dir(spark, key)
+    batch_path = f"{root}_batch"   # the batch lands once, as a run would receive it
+    batch.write.mode("overwrite").parquet(batch_path)
+    batch = spark.read.parquet(batch_path)
     upsert.upsert(old, root, key)
     upsert.upsert(batch, root, key)
     upsert.upsert(batch, root, key)   # the same batch again changes nothing

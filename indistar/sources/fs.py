@@ -45,3 +45,8 @@ def rename(spark: SparkSession, src: str, dst: str) -> bool:
     fs, p = _fs(spark, src)
     _, q = _fs(spark, dst)
     return bool(fs.rename(p, q))
+
+
+def modification_time(spark: SparkSession, path: str) -> int:
+    fs, p = _fs(spark, path)
+    return int(fs.getFileStatus(p).getModificationTime())

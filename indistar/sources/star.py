@@ -19,42 +19,18 @@ sort-merge joins, with AQE splitting skewed keys; no broadcast is forced.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from indistar.sources.contract import RAW_COLUMNS
+from indistar.sources.scan import read_parquet
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str, *cols: str) -> DataFrame:
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    df = read_parquet(spark, f"{sf_dir.rstrip('/')}/{name}.parquet")
     return df.select(*cols) if cols else df
 
 
-def _idiv(c: Column, n: int) -> Column:
-    # non-negative integer division; the cast truncates
-    return (c / F.lit(n)).cast("bigint")
-
-
-def _digits(c: Column, width: int) -> Column:
-    return F.lpad(c.cast("string"), width, "0")
-
-
-def plain_amount(cents: Column) -> Column:
-    """``123456`` cents -> ``'1234.56'``.
-
-    Built from integer casts and ``lpad`` rather than ``format_string``:
-    those stay in generated code, where a per-row ``String.format`` call
-    costs several times the whole rest of the adapter.
-    """
-    return F.concat(_idiv(cents, 100).cast("string"), F.lit("."), _digits(cents % 100, 2))
-
-
-def comma_amount(cents: Column) -> Column:
-    """``123456`` cents -> ``'1,234.56'`` (one separator: amounts < 10^8 cents)."""
-    return F.concat(_idiv(cents, 100000).cast("string"), F.lit(","),
-                    _digits(_idiv(cents, 100) % 1000, 3), F.lit("."), _digits(cents % 100, 2))
-
-
 def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The joined observation grain, typed (before the text rendering)."""
     li = read_table(spark, sf_dir, "lineitem", "l_orderkey", "l_partkey", "l_linenumber",
@@ -80,65 +56,67 @@ def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
             .join(part, li.l_partkey == part.p_partkey))
 
 
-def raw_from_star(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """M01 stand-in: the 34 raw contract columns, all strings."""
-    obs = observations(spark, sf_dir)
-    line = F.col("l_linenumber")
-    key = F.col("n_nationkey")
-    cents = F.round(F.col("l_extendedprice") * 100).cast("bigint")
-    year = F.year("l_shipdate")
-    blank = F.lit("")
-    topic_id = F.replace(F.col("p_brand"), F.lit("Brand#"), F.lit("T"))
-
-    def by_line(mapping: dict[int, Column], default: Column = blank) -> Column:
-        expr = None
-        for ln, value in mapping.items():
-            expr = F.when(line == ln, value) if expr is None else expr.when(line == ln, value)
-        return expr.otherwise(default)
-
-    even = (line % 2) == 0
-    third = (line % 3) == 0
-    cols = {
-        "YearStart": year.cast("string"),
-        "YearEnd": (year + line % 2).cast("string"),
-        "LocationAbbr": F.concat(F.lit("N"), F.lpad(key.cast("string"), 2, "0")),
-        "LocationDesc": F.col("n_name"),
-        "DataSource": F.col("c_mktsegment"),
-        "Topic": F.col("p_brand"),
-        "Question": F.concat(F.col("p_brand"), F.lit(": "), F.col("p_type")),
-        "Response": by_line({6: F.lit("Yes")}),
-        "DataValueUnit": F.when(F.col("l_linestatus") == "O", F.lit("%")).otherwise(blank),
-        "DataValueType": F.concat(F.lit("Type "), F.col("l_returnflag")),
-        "DataValue": by_line({
-            1: plain_amount(cents), 2: comma_amount(cents),
-            3: F.concat(comma_amount(cents), F.lit("%")), 4: plain_amount(cents),
-            5: F.lit("~"), 6: plain_amount(cents)}),
-        "DataValueAlt": by_line({
-            3: F.concat(_idiv(cents, 100).cast("string"), F.lit(".00")),
-            5: comma_amount(cents)}),
-        "DataValueFootnoteSymbol": by_line({5: F.lit("~")}),
-        "DataValueFootnote": by_line({5: F.lit("Suppressed")}),
-        "LowConfidenceLimit": F.when(line == 4, blank).otherwise(plain_amount(cents - 100)),
-        "HighConfidenceLimit": F.when(line == 4, blank).otherwise(plain_amount(cents + 100)),
-        "StratificationCategory1": F.lit("Priority"),
-        "Stratification1": F.col("o_orderpriority"),
-        "StratificationCategory2": F.when(even | (line == 5), F.lit("Segment")).otherwise(blank),
-        "Stratification2": F.when(even | (line == 5), F.col("c_mktsegment")).otherwise(blank),
-        "StratificationCategory3": F.when(third, F.lit("Status")).otherwise(blank),
-        "Stratification3": F.when(third | (line == 1), F.col("o_orderstatus")).otherwise(blank),
-        "Geolocation": F.when(key % 6 == 0, blank).otherwise(F.concat(
-            F.lit("POINT (-"), (key + 70).cast("string"), F.lit(".5 "),
-            (key + 20).cast("string"), F.lit(".25)"))),
-        "ResponseID": by_line({6: F.lit("R1")}),
-        "LocationID": key.cast("string"),
+# Text rendering of amounts in cents, as SQL expressions over ``{c}``:
+# plain '1234.56' and with one thousands separator '1,234.56' (amounts are
+# below 10^8 cents). Integer arithmetic and lpad keep them in generated code.
+_PLAIN = "concat(cast({c} div 100 as string), '.', lpad(cast({c} % 100 as string), 2, '0'))"
+_COMMA = ("concat(cast({c} div 100000 as string), ',', lpad(cast(({c} div 100) % 1000 as string), 3, '0'), "
+          "'.', lpad(cast({c} % 100 as string), 2, '0'))")
+
+
+def _raw_expressions() -> dict[str, str]:
+    cents = "cast(round(l_extendedprice * 100) as bigint)"
+    plain, comma = _PLAIN.format(c=cents), _COMMA.format(c=cents)
+    line, key = "l_linenumber", "n_nationkey"
+    even, third = f"{line} % 2 = 0", f"{line} % 3 = 0"
+    topic_id = "replace(p_brand, 'Brand#', 'T')"
+    return {
+        "YearStart": "cast(year(l_shipdate) as string)",
+        "YearEnd": f"cast(year(l_shipdate) + {line} % 2 as string)",
+        "LocationAbbr": f"concat('N', lpad(cast({key} as string), 2, '0'))",
+        "LocationDesc": "n_name",
+        "DataSource": "c_mktsegment",
+        "Topic": "p_brand",
+        "Question": "concat(p_brand, ': ', p_type)",
+        "Response": f"case when {line} = 6 then 'Yes' else '' end",
+        "DataValueUnit": "case when l_linestatus = 'O' then '%' else '' end",
+        "DataValueType": "concat('Type ', l_returnflag)",
+        "DataValue": (f"case {line} when 1 then {plain} when 2 then {comma} "
+                      f"when 3 then concat({comma}, '%') when 4 then {plain} when 5 then '~' "
+                      f"when 6 then {plain} else '' end"),
+        "DataValueAlt": (f"case {line} when 3 then concat(cast({cents} div 100 as string), '.00') "
+                         f"when 5 then {comma} else '' end"),
+        "DataValueFootnoteSymbol": f"case when {line} = 5 then '~' else '' end",
+        "DataValueFootnote": f"case when {line} = 5 then 'Suppressed' else '' end",
+        "LowConfidenceLimit": f"case when {line} = 4 then '' else {_PLAIN.format(c=f'({cents} - 100)')} end",
+        "HighConfidenceLimit": f"case when {line} = 4 then '' else {_PLAIN.format(c=f'({cents} + 100)')} end",
+        "StratificationCategory1": "'Priority'",
+        "Stratification1": "o_orderpriority",
+        "StratificationCategory2": f"case when {even} or {line} = 5 then 'Segment' else '' end",
+        "Stratification2": f"case when {even} or {line} = 5 then c_mktsegment else '' end",
+        "StratificationCategory3": f"case when {third} then 'Status' else '' end",
+        "Stratification3": f"case when {third} or {line} = 1 then o_orderstatus else '' end",
+        "Geolocation": (f"case when {key} % 6 = 0 then '' else concat('POINT (-', "
+                        f"cast({key} + 70 as string), '.5 ', cast({key} + 20 as string), '.25)') end"),
+        "ResponseID": f"case when {line} = 6 then 'R1' else '' end",
+        "LocationID": f"cast({key} as string)",
         "TopicID": topic_id,
-        "QuestionID": F.concat(topic_id, F.lit("-"), F.col("p_type")),
-        "DataValueTypeID": F.col("l_returnflag"),
-        "StratificationCategoryID1": F.lit("PRI"),
-        "StratificationID1": F.substring(F.col("o_orderpriority"), 1, 1),
-        "StratificationCategoryID2": F.when(even | (line == 5), F.lit("SEG")).otherwise(blank),
-        "StratificationID2": F.when(even, F.substring(F.col("c_mktsegment"), 1, 3)).otherwise(blank),
-        "StratificationCategoryID3": F.when(third, F.lit("STA")).otherwise(blank),
-        "StratificationID3": F.when(third | (line == 1), F.col("o_orderstatus")).otherwise(blank),
+        "QuestionID": f"concat({topic_id}, '-', p_type)",
+        "DataValueTypeID": "l_returnflag",
+        "StratificationCategoryID1": "'PRI'",
+        "StratificationID1": "substr(o_orderpriority, 1, 1)",
+        "StratificationCategoryID2": f"case when {even} or {line} = 5 then 'SEG' else '' end",
+        "StratificationID2": f"case when {even} then substr(c_mktsegment, 1, 3) else '' end",
+        "StratificationCategoryID3": f"case when {third} then 'STA' else '' end",
+        "StratificationID3": f"case when {third} or {line} = 1 then o_orderstatus else '' end",
     }
-    return obs.select([cols[c].alias(c) for c in RAW_COLUMNS])
+
+
+def raw_from_star(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M01 stand-in: the 34 raw contract columns, all strings.
+
+    One projection given as SQL expression text: it is parsed and analysed
+    once in the JVM instead of being assembled call by call from Python.
+    """
+    exprs = _raw_expressions()
+    return observations(spark, sf_dir).selectExpr(*[f"{exprs[c]} AS {c}" for c in RAW_COLUMNS])
