@@ -20,6 +20,8 @@ from the source, and lineage stays short.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -100,6 +102,25 @@ def build_models(clean_df: DataFrame, dim_tables: dict[str, DataFrame] | None =
     return models
 
 
+def _in_parallel(tasks: dict[str, Callable[[], str]], workers: int = 4) -> dict[str, str]:
+    """Run independent Spark actions concurrently (one job per thread).
+
+    The scheduler interleaves their tasks on the executors: many small
+    writes (dimensions, marts) no longer wait for each other, and a large
+    write still gets the whole cluster when it is alone.
+    """
+    with ThreadPoolExecutor(max_workers=workers) as pool:
+        futures = {name: pool.submit(fn) for name, fn in tasks.items()}
+        return {name: fut.result() for name, fut in futures.items()}
+
+
+def _writer(df: DataFrame, path: str) -> Callable[[], str]:
+    def go() -> str:
+        df.write.mode("overwrite").parquet(path)
+        return path
+    return go
+
+
 @dataclass
 class JobResult:
     landed: str
@@ -125,23 +146,20 @@ def run(spark: SparkSession, params: JobParams, work_root: str,
     staging.clean(landed_df, strip=params.strip).write.mode("overwrite").parquet(staged_path)
     clean_df = spark.read.parquet(staged_path)
 
-    dim_paths = {}
-    for name, fn in dims.ALL.items():
-        dim_paths[name] = f"{work_root}/{name}"
-        fn(clean_df).write.mode("overwrite").parquet(dim_paths[name])
+    dim_paths = _in_parallel({name: _writer(fn(clean_df), f"{work_root}/{name}")
+                              for name, fn in dims.ALL.items()})
     dim_tables = {name: spark.read.parquet(p) for name, p in dim_paths.items()}
     models = build_models(clean_df, dim_tables)
 
-    fact_paths = {
-        "fact_base": upsert.upsert(models["fact_base"], f"{work_root}/fact_base", "fact_sk"),
-        "fact_strat": upsert.upsert(models["fact_strat"], f"{work_root}/fact_strat",
-                                    "fact_strat_sk"),
+    writes: dict[str, Callable[[], str]] = {
+        "fact_base": lambda: upsert.upsert(models["fact_base"], f"{work_root}/fact_base", "fact_sk"),
+        "fact_strat": lambda: upsert.upsert(models["fact_strat"], f"{work_root}/fact_strat",
+                                            "fact_strat_sk"),
     }
-
-    mart_paths = {}
-    for name in MART_NAMES:
-        mart_paths[name] = f"{work_root}/marts/{name}"
-        models[name].write.mode("overwrite").parquet(mart_paths[name])
+    writes.update({name: _writer(models[name], f"{work_root}/marts/{name}") for name in MART_NAMES})
+    written = _in_parallel(writes)
+    fact_paths = {k: written[k] for k in ("fact_base", "fact_strat")}
+    mart_paths = {k: written[k] for k in MART_NAMES}
     checked = dict(models)
     checked.update({name: spark.read.parquet(p) for name, p in mart_paths.items()})
 
@@ -153,8 +171,9 @@ def run(spark: SparkSession, params: JobParams, work_root: str,
         quality.assert_passed(report)
 
     root = params.output_root or f"{work_root}/published"
-    published = publish.publish_all({n: spark.read.parquet(p) for n, p in mart_paths.items()},
-                                    root, params.output_prefix)       # N06/N09/N10
+    published = _in_parallel({                                          # N06/N09/N10
+        n: (lambda n=n, p=p: publish.publish(spark.read.parquet(p), root, params.output_prefix, n))
+        for n, p in mart_paths.items()})
     inv = publish.inventory(spark, root, params.output_prefix)        # N11
     return JobResult(landed=f"{work_root}/raw", staged=staged_path, dims=dim_paths,
                      facts=fact_paths, published=published, report=report, inventory=inv,
