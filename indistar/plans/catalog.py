@@ -33,6 +33,18 @@ def _clean(spark: SparkSession, sf_dir: str, strip: str = "first") -> DataFrame:
     return staging.clean(raw_from_star(spark, sf_dir), strip=strip)
 
 
+def _staged(spark: SparkSession, sf_dir: str, strip: str = "first") -> DataFrame:
+    """The clean model written once to the work folder and read back.
+
+    Queries that derive several models (publishing, the check suite, the
+    upsert batches) read this table, as the job does, instead of
+    re-deriving the staging for every model.
+    """
+    path = work_dir(spark, f"stg_clean_{strip}")
+    _clean(spark, sf_dir, strip).write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
 def stg_raw(spark, sf_dir):
     """Raw rows under the contract (adapter output)."""
     return raw_from_star(spark, sf_dir)
@@ -209,8 +221,8 @@ def _fact_batches(spark, sf_dir, strata: bool):
     values differ from the stored ones where the first-only rule fell back.
     Together the two cover every observation.
     """
-    first = _clean(spark, sf_dir)
-    restated = _clean(spark, sf_dir, strip="all")
+    first = _staged(spark, sf_dir)
+    restated = _staged(spark, sf_dir, strip="all")
     if strata:
         old = facts.fact_strat(facts.strata_long(first))
         new = facts.fact_strat(facts.strata_long(restated))
@@ -246,9 +258,8 @@ PUBLISH_PREFIX = "published/marts/"
 
 
 def _published(spark, sf_dir) -> tuple[str, dict[str, str]]:
-    c = _clean(spark, sf_dir)
-    models = job.build_models(c)
     root = work_dir(spark, "lake")
+    models, _ = job.materialize(spark, _staged(spark, sf_dir), f"{root}/work", facts_too=False)
     uris = publish.publish_all({n: models[n] for n in job.MART_NAMES}, root, PUBLISH_PREFIX)
     return root, uris
 
@@ -319,7 +330,8 @@ def dq_unique_combination(spark, sf_dir):
 
 def dq_report(spark, sf_dir):
     """The declared suite over every model, one row per check."""
-    models = job.build_models(_clean(spark, sf_dir))
+    models, _ = job.materialize(spark, _staged(spark, sf_dir), work_dir(spark, "models"),
+                                facts_too=False)
     return quality.run_checks(models, job.DECLARED_CHECKS)
 
 

@@ -134,6 +134,30 @@ class JobResult:
     extra: dict = field(default_factory=dict)
 
 
+def materialize(spark: SparkSession, clean_df: DataFrame, work_root: str,
+                facts_too: bool = True) -> tuple[dict[str, DataFrame], dict[str, str]]:
+    """Write dimensions, then marts (and fact upserts), each once; read them back.
+
+    Returns the models (written ones replaced by their read-back tables) and
+    the written paths. Dimensions are written first so the mart join sees
+    their real size; the independent writes of one level run concurrently.
+    """
+    work_root = work_root.rstrip("/")
+    paths = _in_parallel({name: _writer(fn(clean_df), f"{work_root}/{name}")
+                          for name, fn in dims.ALL.items()})
+    models = build_models(clean_df, {name: spark.read.parquet(p) for name, p in paths.items()})
+    writes: dict[str, Callable[[], str]] = {
+        name: _writer(models[name], f"{work_root}/marts/{name}") for name in MART_NAMES}
+    if facts_too:
+        writes["fact_base"] = lambda: upsert.upsert(models["fact_base"], f"{work_root}/fact_base",
+                                                    "fact_sk")
+        writes["fact_strat"] = lambda: upsert.upsert(models["fact_strat"],
+                                                     f"{work_root}/fact_strat", "fact_strat_sk")
+    paths.update(_in_parallel(writes))
+    models.update({name: spark.read.parquet(paths[name]) for name in writes})
+    return models, paths
+
+
 def run(spark: SparkSession, params: JobParams, work_root: str,
         raw: DataFrame | None = None, fail_on_dq: bool = True) -> JobResult:
     """Run the whole job. ``raw`` overrides the CSV input (N02 resolution)."""
@@ -146,24 +170,8 @@ def run(spark: SparkSession, params: JobParams, work_root: str,
     staging.clean(landed_df, strip=params.strip).write.mode("overwrite").parquet(staged_path)
     clean_df = spark.read.parquet(staged_path)
 
-    dim_paths = _in_parallel({name: _writer(fn(clean_df), f"{work_root}/{name}")
-                              for name, fn in dims.ALL.items()})
-    dim_tables = {name: spark.read.parquet(p) for name, p in dim_paths.items()}
-    models = build_models(clean_df, dim_tables)
-
-    writes: dict[str, Callable[[], str]] = {
-        "fact_base": lambda: upsert.upsert(models["fact_base"], f"{work_root}/fact_base", "fact_sk"),
-        "fact_strat": lambda: upsert.upsert(models["fact_strat"], f"{work_root}/fact_strat",
-                                            "fact_strat_sk"),
-    }
-    writes.update({name: _writer(models[name], f"{work_root}/marts/{name}") for name in MART_NAMES})
-    written = _in_parallel(writes)
-    fact_paths = {k: written[k] for k in ("fact_base", "fact_strat")}
-    mart_paths = {k: written[k] for k in MART_NAMES}
-    checked = dict(models)
-    checked.update({name: spark.read.parquet(p) for name, p in mart_paths.items()})
-
-    report = quality.run_checks(checked, DECLARED_CHECKS)             # D01-D05
+    models, paths = materialize(spark, clean_df, work_root)
+    report = quality.run_checks(models, DECLARED_CHECKS)              # D01-D05
     report_path = f"{work_root}/dq_report"
     report.write.mode("overwrite").parquet(report_path)
     report = spark.read.parquet(report_path)
@@ -171,10 +179,11 @@ def run(spark: SparkSession, params: JobParams, work_root: str,
         quality.assert_passed(report)
 
     root = params.output_root or f"{work_root}/published"
-    published = _in_parallel({                                          # N06/N09/N10
-        n: (lambda n=n, p=p: publish.publish(spark.read.parquet(p), root, params.output_prefix, n))
-        for n, p in mart_paths.items()})
+    published = publish.publish_all({n: models[n] for n in MART_NAMES},  # N06/N09/N10
+                                    root, params.output_prefix)
     inv = publish.inventory(spark, root, params.output_prefix)        # N11
-    return JobResult(landed=f"{work_root}/raw", staged=staged_path, dims=dim_paths,
-                     facts=fact_paths, published=published, report=report, inventory=inv,
+    return JobResult(landed=f"{work_root}/raw", staged=staged_path,
+                     dims={n: paths[n] for n in dims.ALL},
+                     facts={n: paths[n] for n in ("fact_base", "fact_strat")},
+                     published=published, report=report, inventory=inv,
                      landed_now=landed_now)

@@ -14,6 +14,7 @@ is coalesced to one file or routed through the driver.
 from __future__ import annotations
 
 from collections.abc import Mapping
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -41,8 +42,12 @@ def publish(df: DataFrame, root: str, prefix: str | None, name: str) -> str:
     return uri
 
 
-def publish_all(marts: Mapping[str, DataFrame], root: str, prefix: str | None) -> dict[str, str]:
-    return {name: publish(df, root, prefix, name) for name, df in marts.items()}
+def publish_all(marts: Mapping[str, DataFrame], root: str, prefix: str | None,
+                workers: int = 4) -> dict[str, str]:
+    """Publish every mart; the independent writes run as concurrent jobs."""
+    with ThreadPoolExecutor(max_workers=workers) as pool:
+        futures = {name: pool.submit(publish, df, root, prefix, name) for name, df in marts.items()}
+        return {name: f.result() for name, f in futures.items()}
 
 
 def register_views(spark: SparkSession, tables: Mapping[str, str | DataFrame]) -> list[str]:
