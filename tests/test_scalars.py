@@ -67,3 +67,19 @@ def test_stable_round_tie_is_engine_independent(spark):
     df = spark.createDataFrame([(0.125,), (0.12499999999999999,), (0.1250000000000001,)], "x double")
     got = [r[0] for r in df.select(S.stable_round("x")).collect()]
     assert got == [0.13, 0.13, 0.13]
+
+
+def test_strict_integer_cast_raises_on_fraction(spark):
+    """Year text must be integral; ANSI casting raises instead of rounding."""
+    import pytest
+    from pyspark.errors import PySparkException
+
+    from indistar.plans import staging
+    from indistar.sources.contract import RAW_COLUMNS
+
+    row = {c: "" for c in RAW_COLUMNS}
+    row.update({"YearStart": "2.6", "YearEnd": "2019", "DataValue": "1"})
+    df = spark.createDataFrame([tuple(row[c] for c in RAW_COLUMNS)],
+                               ", ".join(f"{c} string" for c in RAW_COLUMNS))
+    with pytest.raises(PySparkException):
+        staging.clean(df).collect()

@@ -94,3 +94,16 @@ def test_publish_inventory_and_adhoc(spark, tmp_path):
     assert set(inv) == {"m1", "m2"} and all(r.total_bytes > 0 for r in inv.values())
     out = publish.adhoc_sql(spark, uris, "select k, count(*) as n from m1 group by k order by k")
     assert [(r.k, r.n) for r in out.collect()] == [(0, 34), (1, 33), (2, 33)]
+
+
+def test_csv_header_matched_by_name(spark, tmp_path):
+    cols = ["Extra"] + list(reversed(RAW_COLUMNS))
+    p = tmp_path / "wide.csv"
+    row = {c: "" for c in cols}
+    row.update({"Extra": "x", "YearStart": "2019", "Topic": "T", "DataValue": "1.5"})
+    with open(p, "w", encoding="utf-8") as f:
+        f.write(",".join(cols) + "\n" + ",".join(row[c] for c in cols) + "\n")
+    df = read_raw_csv(spark, str(p))
+    assert tuple(df.columns) == RAW_COLUMNS
+    r = df.first()
+    assert (r.YearStart, r.Topic, r.DataValue) == ("2019", "T", "1.5")
