@@ -30,6 +30,8 @@ SESSION_DEFAULTS = {
     # code generation there instead of running interpreted bytecode.
     "spark.sql.codegen.hugeMethodLimit": "8000",
     "spark.ui.enabled": "false",
+    # checkpoint files of spread scans are removed once no plan refers to them
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 

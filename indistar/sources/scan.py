@@ -33,12 +33,24 @@ def read_parquet(spark: SparkSession, path: str) -> DataFrame:
     return df
 
 
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+def spread(df: DataFrame, min_partitions: int | None = None,
+           materialize: bool = False) -> DataFrame:
     """Round-robin repartition only when the scan has fewer splits than cores.
 
-    Counting splits plans the scan (a file listing); it runs no job.
+    Counting splits plans the scan (a file listing); it runs no job. With
+    ``materialize`` the spread rows are also checkpointed to the shared
+    checkpoint folder: filters that Catalyst would otherwise push below the
+    repartition, into the under-split scan task, then run on every core.
+    An input that is already split (one split per row group, as any large
+    Parquet dataset is) is returned unchanged, so this never copies big data.
     """
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    spark = df.sparkSession
+    target = min_partitions or spark.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() >= target:
         return df
-    return df.repartition(target)
+    spread_df = df.repartition(target)
+    if materialize:
+        from indistar.session import ensure_checkpoint_dir
+        ensure_checkpoint_dir(spark)
+        return spread_df.checkpoint(eager=True)
+    return spread_df
