@@ -33,3 +33,37 @@ def test_failed_write_leaves_current_version(spark, tmp_path):
     assert _rows(upsert.read_current(spark, root)) == [(1, "a"), (2, "b")]
     assert upsert.vacuum(spark, root, keep=1)
     assert _rows(upsert.read_current(spark, root)) == [(1, "a"), (2, "b")]
+
+
+def test_hot_key_third_of_rows_stays_exact(spark):
+    """One key holds a third of all rows; the sort-merge anti join is split by AQE."""
+    from pyspark.sql import functions as F
+
+    from indistar.operators import quality
+
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k"}
+    old_conf = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        n = 30000
+        old = spark.range(n).select(
+            F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id")).alias("k"),
+            F.lit("old").alias("v"))
+        batch = spark.range(0, 3000, 7).select(F.col("id").alias("k"), F.lit("new").alias("v"))
+        merged = upsert.merge_batch(old, batch, "k")
+        got = {r.v: r.n for r in merged.groupBy("v").agg(F.count(F.lit(1)).alias("n")).collect()}
+        batch_keys = {r.k for r in batch.collect()}
+        kept = sum(1 for i in range(n) if (0 if i % 3 == 0 else i) not in batch_keys)
+        assert got == {"old": kept, "new": batch.count()}
+        dup = quality.unique(old, "k").collect()
+        assert [(r.unique_field, r.n_records) for r in dup] == [(0, n // 3)]
+    finally:
+        for k, v in old_conf.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
