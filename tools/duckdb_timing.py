@@ -14,7 +14,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 import duckdb  # noqa: E402
 
-from checks.duckdb_oracle import oracle_sql  # noqa: E402
+from indistar_oracle.duckdb_oracle import oracle_sql  # noqa: E402
 
 sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.1"
 threads = int(sys.argv[2]) if len(sys.argv) > 2 else 8
