@@ -8,6 +8,10 @@
 
 The landed Parquet is the one source every later model reads, so the CSV is
 parsed once per run, not once per model.
+
+The final swap is a folder rename: atomic on HDFS-like file systems. On an
+object store it is a copy, but the ``_SUCCESS`` check still only accepts a
+complete folder, so a reader never takes a half-written landing as done.
 """
 
 from __future__ import annotations
