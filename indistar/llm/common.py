@@ -1,8 +1,8 @@
 """Helpers shared by the operators: written intermediates and vectorised text hashing.
 
-Token and shingle hashes are 64 bits wide and do not depend on the Python process
-(``xxh64`` of the token bytes), so every executor computes the same values and a
-re-run after a lost executor does too.
+Word and shingle hashes are 64 bits wide and do not depend on the Python process, so every
+executor computes the same values and a re-run after a lost executor does too. Words are
+hashed as polynomials over their bytes, whole groups of texts at a time.
 """
 
 from __future__ import annotations
@@ -11,7 +11,6 @@ from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -55,24 +54,52 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> U64(31))
 
 
-class TokenHasher:
-    """``xxh64`` of byte tokens with a memo of bounded size (frequent words hash once)."""
+#: Bytes of text hashed in one go, and the largest base of the polynomial's memo of powers.
+CHUNK_BYTES = 1 << 20
+_WHITE = np.zeros(256, dtype=bool)
+_WHITE[[0x20, *range(0x09, 0x0E)]] = True
+_BYTE = mix(np.arange(1, 257, dtype=U64) * SEQ_MULT)
+_LOWER = _BYTE.copy()
+_LOWER[ord("A"):ord("Z") + 1] = _BYTE[ord("a"):ord("z") + 1]
+_BASE = U64(0xD1342543DE82EF95)
+_BASE_INVERSE = U64(pow(int(_BASE), -1, 1 << 64))
+_POWERS: list[np.ndarray] = []
 
-    def __init__(self, limit: int = 1_000_000):
-        self.memo: dict[bytes, int] = {}
-        self.limit = limit
 
-    def __call__(self, tokens: list[bytes]) -> np.ndarray:
-        memo, get = self.memo, self.memo.get
-        if len(memo) > self.limit:
-            memo.clear()
-        out = [get(t) for t in tokens]
-        if None in out:
-            for i, h in enumerate(out):
-                if h is None:
-                    t = tokens[i]
-                    memo[t] = out[i] = xxhash.xxh64_intdigest(t)
-        return np.array(out, dtype=U64)
+def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The first n powers of the polynomial's base and of its inverse, modulo 2**64."""
+    if not _POWERS or len(_POWERS[0]) < n:
+        size = max(n, CHUNK_BYTES + 1024)
+        _POWERS[:] = [np.concatenate([np.ones(1, U64), np.full(size - 1, x)]).cumprod(dtype=U64)
+                      for x in (_BASE, _BASE_INVERSE)]
+    return _POWERS[0][:n], _POWERS[1][:n]
+
+
+def word_hashes(texts: Sequence[bytes], lower: bool = True) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Hashes of the words ``[^\\x20\\x09-\\x0D]+`` of many texts, some texts at a time.
+
+    Yields (hashes, offsets): text i of the group has hashes[offsets[i]:offsets[i + 1]].
+    ``lower`` makes A-Z equal to a-z. A group is ``CHUNK_BYTES`` of text, or one longer text;
+    memory is about 40 bytes per byte of the group.
+    """
+    table, group, held = _LOWER if lower else _BYTE, [], 0
+    for i, t in enumerate(texts):
+        group.append(t)
+        held += len(t) + 1
+        if held < CHUNK_BYTES and i + 1 < len(texts):
+            continue
+        data = np.frombuffer(b"\n".join(group) + b"\n", dtype=np.uint8)
+        white = _WHITE[data]
+        edge = np.flatnonzero(white[1:] != white[:-1]) + 1
+        if not white[0]:
+            edge = np.concatenate([np.zeros(1, edge.dtype), edge])
+        starts, ends = edge[::2], edge[1::2]
+        up, down = powers(len(data) + 1)
+        sums = np.concatenate([np.zeros(1, U64), np.cumsum(table[data] * up[:-1], dtype=U64)])
+        h = mix((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(U64))
+        begin = np.cumsum([0] + [len(t) + 1 for t in group])
+        yield h, np.searchsorted(starts, begin)
+        group, held = [], 0
 
 
 def sequence_hashes(h: np.ndarray, width: int) -> np.ndarray:
@@ -86,14 +113,19 @@ def sequence_hashes(h: np.ndarray, width: int) -> np.ndarray:
     return mix(acc)
 
 
-def shingle_set(h: np.ndarray, width: int = 5) -> np.ndarray:
-    """Sorted distinct hashes of the ``width``-word shingles of a token-hash sequence.
+def shingle_sets(texts: Sequence[bytes], width: int = 5) -> Iterator[np.ndarray]:
+    """For every text the sorted distinct hashes of its ``width``-word shingles.
 
-    With fewer words the whole sequence is one shingle; without words the set is empty.
+    Words are lower-cased in A-Z. With fewer words the whole sequence is one shingle;
+    without words the set is empty.
     """
-    if len(h) == 0:
-        return np.empty(0, dtype=U64)
-    return np.unique(sequence_hashes(h, min(width, len(h))))
+    for h, at in word_hashes(texts):
+        runs = sequence_hashes(h, width)
+        for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True):
+            if b - a >= width:
+                yield np.unique(runs[a:b - width + 1])
+            else:
+                yield sequence_hashes(h[a:b], b - a) if b > a else np.empty(0, dtype=U64)
 
 
 def as_long(x: np.ndarray) -> np.ndarray:

@@ -16,13 +16,17 @@ A document's set is its distinct 5-word shingles; two documents link when
    e + 2d >= H + 1, some segment must match: else there were e + 2d > H differences.
 4. *Allocation by cost.* Per scheme, (e, d) is the cheapest way to reach the bound: a
    signature costs one row, and a segment that holds few shingles costs the chance
-   candidates it makes. Per node, the same is done for exact segments: the scheme has more
-   than H + 1 of them, all are indexed, and a node *probes* with its H + 1 fullest ones only.
-   (Of m exact segments at least m - H match, and any H + 1 of them include one that does.)
-   A bucket's rows that only index, such as empty segments, never meet each other.
+   candidates it makes. A scheme of exact segments has more than H + 1 of them, m, so a linked
+   pair shares at least m - H buckets. Once the buckets' sizes are known, a node that shares
+   fewer buckets than that is out, and one that shares c probes its c - (m - H) + 1 smallest
+   ones only, of which at least one is shared with every linked node. Large buckets, as of
+   segments that are empty or hold one common passage, are so joined last or never.
 5. *Candidates and exact check.* In every bucket the nodes are first compared with the
-   bucket's most connected node; what is then still in different components is compared pair by pair.
-   A candidate pair counts only after the two whole shingle sets are intersected.
+   bucket's most connected node. What is then still in different components is compared pair by
+   pair inside the tasks, a large bucket in tiles of two blocks, so that no task holds a whole
+   bucket and only pairs that may link are written.
+   A candidate pair counts only after the two whole shingle sets are intersected; pairs whose
+   bit sketches already differ in more cells than linked sets may differ in are left out.
 
 Null or empty texts have the empty set and link with nothing. With fewer than five words the
 whole sequence is the one shingle. Repeated rows have equal sets, so they link. Rows with a
@@ -49,14 +53,13 @@ from pyspark.sql.window import Window
 
 from indistar.llm.common import (
     U64,
-    TokenHasher,
     append_columns,
     as_long,
     id_text,
     join_keys,
     materialize,
     mix,
-    shingle_set,
+    shingle_sets,
 )
 from indistar.llm.components import connected_components
 
@@ -67,6 +70,10 @@ LINK_NUM, LINK_DEN = 80, 100
 BAND = LINK_DEN / LINK_NUM
 #: Cost, in signature rows, of one chance candidate per thousand nodes.
 CHANCE_COST = 400.0
+#: Cells of a sketch. Sets differ in at least as many shingles as their sketches do in cells.
+SKETCH_BITS = 1024
+#: Nodes of a large bucket that one task compares with as many others at a time.
+BLOCK = 4096
 
 
 def band_limits(top: int = 1 << 40) -> list[int]:
@@ -90,37 +97,40 @@ _ALLOCATION: dict[int, tuple[int, int, int]] = {}
 
 
 def allocation(band: int) -> tuple[int, int, int]:
-    """(exact segments, deletion segments, exact segments to probe) of a band's scheme.
+    """(exact segments, deletion segments, buckets that a linked pair shares at least).
 
     Cost of a choice: rows that a typical node emits, plus the chance that a segment matches
     by holding next to nothing (Poisson, mean shingles per segment; a deletion segment
-    compares contents with one shingle less).
+    compares contents with one shingle less) beyond what the spare segments make up for.
     """
     if band in _ALLOCATION:
         return _ALLOCATION[band]
     need, size = max_difference(band) + 1, int(LIMITS[band + 1]) - 1
     best = None
     for d in sorted({0, *range(1, min(ceil(need / 2), 8) + 1), ceil(need / 2)}):
-        probe = max(0, need - 2 * d)
-        for spare in ({0} if probe == 0 else {0, probe // 8, probe // 4}):
-            e = probe + spare
+        exact = max(0, need - 2 * d)
+        for spare in {0} if d else {exact // 8, exact // 4, exact // 2}:
+            e = exact + spare
             mean = size / (e + d)
             bare = exp(-mean) * (1 + mean)
-            chance = probe * max(0.0, bare - spare / max(e, 1)) + d * (bare + exp(-mean) * mean * mean / 2)
+            chance = exact * max(0.0, bare - spare / max(e, 1)) + d * (bare + exp(-mean) * mean * mean / 2)
             cost = e + d * (mean + 1) + CHANCE_COST * chance
             if best is None or cost < best[0]:
-                best = (cost, e, d, probe)
+                best = (cost, e, d, spare + 1)
     _ALLOCATION[band] = best[1:]
     return _ALLOCATION[band]
 
 
-def _signatures(s: np.ndarray, band: int) -> tuple[np.ndarray, np.ndarray]:
-    """Signatures of one set under one scheme and, for each, 1 if it probes."""
-    e, d, probe = allocation(band)
+def band_of(size: int) -> int:
+    return int(np.searchsorted(LIMITS, size, side="right")) - 1
+
+
+def _signatures(s: np.ndarray, band: int) -> np.ndarray:
+    """Signatures of one set under one scheme."""
+    e, d, _ = allocation(band)
     m = e + d
     salt = mix(np.array([band + 1], dtype=U64))[0]
-    spread = mix(s ^ salt)
-    seg = ((spread >> U64(32)) * U64(m)) >> U64(32)
+    seg = ((mix(s ^ salt) >> U64(32)) * U64(m)) >> U64(32)
     order = np.argsort(seg, kind="stable")
     seg, val = seg[order].astype(np.int64), mix(s + salt)[order]
     sizes = np.bincount(seg, minlength=m)
@@ -129,15 +139,10 @@ def _signatures(s: np.ndarray, band: int) -> tuple[np.ndarray, np.ndarray]:
     sums = cums[ends] - cums[ends - sizes]
     tag = mix(np.arange(m, dtype=U64) + salt)
     whole = mix(sums + tag) ^ salt
-    sigs, probes = [whole], [np.ones(m, dtype=np.int64)]
-    if e > probe:  # the fullest exact segments probe
-        rank = np.argsort(-sizes[:e], kind="stable")
-        probes[0][rank[probe:]] = 0
-    if d:
-        own = seg >= e
-        sigs.append(mix(sums[seg[own]] - val[own] + tag[seg[own]]) ^ salt)
-        probes.append(np.ones(int(own.sum()), dtype=np.int64))
-    return np.concatenate(sigs), np.concatenate(probes)
+    if not d:
+        return whole
+    own = seg >= e
+    return np.concatenate([whole, mix(sums[seg[own]] - val[own] + tag[seg[own]]) ^ salt])
 
 
 def node_of(s: np.ndarray) -> int:
@@ -148,10 +153,8 @@ def node_of(s: np.ndarray) -> int:
     return int(as_long(h)[0]) & ~1 or 2
 
 
-def _sets(texts: list, hasher: TokenHasher) -> Iterator[np.ndarray]:
-    for t in texts:
-        yield shingle_set(hasher(t.encode("utf-8", "surrogatepass").lower().split()), SHINGLE) if t \
-            else np.empty(0, dtype=U64)
+def _sets(texts: list) -> Iterator[np.ndarray]:
+    return shingle_sets([t.encode("utf-8", "surrogatepass") if t else b"" for t in texts], SHINGLE)
 
 
 def with_nodes(docs: DataFrame, n_col: str, node_col: str, text: str = "text") -> DataFrame:
@@ -159,20 +162,30 @@ def with_nodes(docs: DataFrame, n_col: str, node_col: str, text: str = "text") -
     fields = T.StructType([T.StructField(n_col, T.LongType()), T.StructField(node_col, T.LongType())])
 
     def compute(texts: list) -> list:
-        hasher = TokenHasher()
-        got = [(len(s), node_of(s)) for s in _sets(texts, hasher)]
+        got = [(len(s), node_of(s)) for s in _sets(texts)]
         return [[g[0] for g in got], [g[1] for g in got]]
 
     return append_columns(docs, text, fields, compute)
 
 
+def _needs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(node, size) to the buckets it must share: (node, lower, need), a row per scheme."""
+    for b in batches:
+        nodes, bands = b.column("node").to_pylist(), [band_of(n) for n in b.column("size").to_pylist()]
+        own = [allocation(x)[2] for x in bands]
+        below = [allocation(x - 1)[2] if x else 1 for x in bands]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(nodes * 2, pa.int64()), pa.array([False] * len(nodes) + [True] * len(nodes)),
+             pa.array(own + below, pa.int64())], names=["node", "lower", "need"])
+
+
 #: Nodes that a task remembers having written; a forgotten one is written again, harmlessly.
 REMEMBERED = 200_000
 
 
 def _emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(sig, entry) rows of every distinct set; an entry is the node, plus 1 if it probes."""
-    hasher, seen = TokenHasher(), set()
+    """(sig, entry) rows of every distinct set; an entry is the node, plus 1 in the lower scheme."""
+    seen: set[int] = set()
 
     def out(sigs, entries):
         return pa.RecordBatch.from_arrays(
@@ -181,19 +194,19 @@ def _emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     sigs, entries, held = [], [], 0
     for b in batches:
-        for s in _sets(b.column("text").to_pylist(), hasher):
+        for s in _sets(b.column("text").to_pylist()):
             node = node_of(s)
             if node == 0 or node in seen:
                 continue
             if len(seen) >= REMEMBERED:
                 seen.clear()
             seen.add(node)
-            own = int(np.searchsorted(LIMITS, len(s), side="right")) - 1
-            for band in (own, own - 1):
-                if band >= 0:
-                    g, p = _signatures(s, band)
+            own = band_of(len(s))
+            for lower in (0, 1):
+                if own >= lower:
+                    g = _signatures(s, own - lower)
                     sigs.append(g)
-                    entries.append(p + node)
+                    entries.append(np.full(len(g), node + lower, dtype=np.int64))
                     held += len(g)
             if held > 100_000:
                 yield out(sigs, entries)
@@ -202,76 +215,192 @@ def _emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield out(sigs, entries)
 
 
-def _shingle_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    hasher = TokenHasher()
+def _sketch(s: np.ndarray) -> bytes:
+    """Presence of the set's shingles in ``SKETCH_BITS`` cells."""
+    cells = np.zeros(SKETCH_BITS, dtype=np.uint8)
+    cells[(mix(s) >> U64(64 - SKETCH_BITS.bit_length() + 1)).astype(np.int64)] = 1
+    return np.packbits(cells).tobytes()
+
+
+def _describe(what: str):
+    """A mapInArrow function: (node, text) to (node, size and sketch) or (node, whole set)."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            sets = list(_sets(b.column("text").to_pylist()))
+            if what == "set":
+                cols = [pa.array([as_long(s) for s in sets], type=pa.list_(pa.int64()))]
+            else:
+                cols = [pa.array([len(s) for s in sets], pa.int64()), pa.array([_sketch(s) for s in sets], pa.binary())]
+            yield pa.RecordBatch.from_arrays([b.column("node"), *cols],
+                                             names=["node", "set"] if what == "set" else ["node", "size", "sketch"])
+    return run
+
+
+def _possible(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pairs whose sketches differ in no more cells than linked sets may differ in shingles."""
     for b in batches:
-        rows = [as_long(s) for s in _sets(b.column("text").to_pylist(), hasher)]
-        sets = pa.array(rows, type=pa.list_(pa.int64()))
-        yield pa.RecordBatch.from_arrays([b.column("node"), sets], names=["node", "set"])
+        both = b.column("na").to_numpy() + b.column("nb").to_numpy()
+        x, y = (np.frombuffer(b"".join(b.column(c).to_pylist()), dtype=np.uint64).reshape(b.num_rows, -1)
+                for c in ("ka", "kb"))
+        apart = np.bitwise_count(x ^ y).sum(axis=1, dtype=np.int64)
+        good = pa.array((LINK_DEN + LINK_NUM) * apart <= (LINK_DEN - LINK_NUM) * both)
+        yield pa.RecordBatch.from_arrays([b.column("a").filter(good), b.column("b").filter(good)], names=["a", "b"])
+
+
+def _tile_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows sorted by tile, to the tile's pairs that may link across components.
+
+    A tile holds two blocks of one bucket, or one with itself; only the pairs that the
+    sketches let through are written.
+    """
+    names = ("sig", "t0", "t1", "block", "node", "component", "probe", "size")
+
+    def pairs(g: dict[str, np.ndarray]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        n, width = len(g["node"]), g["sketch"].shape[1]
+        one = g["t0"][0] == g["t1"][0]
+        for i in range(0, n, step := max(1, (1 << 21) // (n * width))):
+            r = slice(i, i + step)
+            ok = (g["node"][r, None] < g["node"]) & (g["component"][r, None] != g["component"]) \
+                & (g["probe"][r, None] | g["probe"])
+            if not one:
+                ok &= g["block"][r, None] != g["block"]
+            x, y = np.nonzero(ok)
+            x = x + i
+            apart = np.bitwise_count(g["sketch"][x] ^ g["sketch"][y]).sum(axis=1, dtype=np.int64)
+            keep = (LINK_DEN + LINK_NUM) * apart <= (LINK_DEN - LINK_NUM) * (g["size"][x] + g["size"][y])
+            yield g["node"][x[keep]], g["node"][y[keep]]
+
+    def columns(b: pa.RecordBatch) -> dict[str, np.ndarray]:
+        out = {c: b.column(c).to_numpy(zero_copy_only=False) for c in names}
+        out["sketch"] = np.frombuffer(b"".join(b.column("sketch").to_pylist()), dtype=np.uint64) \
+            .reshape(b.num_rows, -1)
+        return out
+
+    def tiles() -> Iterator[dict[str, np.ndarray]]:
+        held = None
+        for b in batches:
+            if not b.num_rows:
+                continue
+            new = columns(b)
+            held = new if held is None else {c: np.concatenate([held[c], new[c]]) for c in new}
+            key = [held[c] for c in ("sig", "t0", "t1")]
+            cut = np.flatnonzero(np.any([k[1:] != k[:-1] for k in key], axis=0)) + 1
+            for lo, hi in zip([0, *cut[:-1]], cut, strict=False):
+                yield {c: v[lo:hi] for c, v in held.items()}
+            if len(cut):
+                held = {c: v[cut[-1]:] for c, v in held.items()}
+        if held is not None:
+            yield held
+
+    found_a, found_b, n = [], [], 0
+    for tile in tiles():
+        for x, y in pairs(tile):
+            found_a.append(x)
+            found_b.append(y)
+            n += len(x)
+        if n > 50_000:
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(found_a)), pa.array(np.concatenate(found_b))],
+                                             names=["a", "b"])
+            found_a, found_b, n = [], [], 0
+    if n:
+        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(found_a)), pa.array(np.concatenate(found_b))],
+                                         names=["a", "b"])
 
 
 def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Pairs with both sets, to the pairs that link."""
     for b in batches:
-        a, c = b.column("a").to_numpy(), b.column("b").to_numpy()
         sa, sb = b.column("sa"), b.column("sb")
         good = np.zeros(b.num_rows, dtype=bool)
         for i in range(b.num_rows):
             x, y = sa[i].values.to_numpy(), sb[i].values.to_numpy()
             inter = len(x) + len(y) - len(np.union1d(x, y))
             good[i] = LINK_DEN * inter >= LINK_NUM * (len(x) + len(y) - inter)
-        yield pa.RecordBatch.from_arrays([pa.array(a[good]), pa.array(c[good])], names=["a", "b"])
-
-
-def _links(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose whole sets link."""
-    left = sets.select(F.col("node").alias("a"), F.col("set").alias("sa"))
-    right = sets.select(F.col("node").alias("b"), F.col("set").alias("sb"))
-    both = pairs.join(left, "a").join(right, "b").select("a", "b", "sa", "sb")
-    return both.mapInArrow(_verify, "a long, b long")
-
-
-def node_components(texts: DataFrame) -> DataFrame:
+        good = pa.array(good)
+        yield pa.RecordBatch.from_arrays([b.column("a").filter(good), b.column("b").filter(good)], names=["a", "b"])
+
+
+def _described(texts: DataFrame, nodes: DataFrame, what: str, fields: str) -> DataFrame:
+    """One row per listed node; copies of one set meet again and one of them stays."""
+    rows = join_keys(with_nodes(texts, "n", "node"), nodes, "node", "left_semi").mapInArrow(_describe(what), fields)
+    names = rows.columns[1:]
+    return materialize(rows.groupBy("node").agg(*(F.first(c).alias(c) for c in names)), what)
+
+
+def _links(pairs: DataFrame, sketches: DataFrame, texts: DataFrame) -> DataFrame:
+    """The pairs (a, b) whose whole sets link: sketches rule most others out, sets decide."""
+    k = sketches
+    near = (pairs.join(k.select(F.col("node").alias("a"), F.col("size").alias("na"), F.col("sketch").alias("ka")), "a")
+            .join(k.select(F.col("node").alias("b"), F.col("size").alias("nb"), F.col("sketch").alias("kb")), "b")
+            .select("a", "b", "na", "nb", "ka", "kb").mapInArrow(_possible, "a long, b long"))
+    near = materialize(near, "near")
+    nodes = materialize(near.select(F.col("a").alias("node")).union(near.select("b")).distinct(), "near-nodes")
+    sets = _described(texts, nodes, "set", "node long, set array<long>")
+    both = (near.join(sets.select(F.col("node").alias("a"), F.col("set").alias("sa")), "a")
+            .join(sets.select(F.col("node").alias("b"), F.col("set").alias("sb")), "b").select("a", "b", "sa", "sb"))
+    return materialize(both.mapInArrow(_verify, "a long, b long"), "links")
+
+
+def _probing(shared: DataFrame, sizes: DataFrame) -> DataFrame:
+    """The rows (sig, node, probe) that can still make a linked pair, written."""
+    nodes = shared.select("node").distinct()
+    needs = sizes.join(nodes, "node", "left_semi").distinct().mapInArrow(_needs, "node long, lower boolean, need long")
+    bulk = shared.groupBy("sig").agg(F.count(F.lit(1)).alias("size"))
+    own = Window.partitionBy("node", "lower")
+    ranked = (shared.join(bulk, "sig").join(needs, ["node", "lower"])
+              .withColumn("shares", F.count(F.lit(1)).over(own)).where("shares >= need")
+              .withColumn("rank", F.row_number().over(own.orderBy("size", "sig"))))
+    rows = materialize(ranked.select("sig", "node", (F.col("rank") <= F.col("shares") - F.col("need") + 1)
+                                     .alias("probe")), "ranked")
+    live = rows.groupBy("sig").agg(F.count(F.lit(1)).alias("n"), F.max("probe").alias("probed")) \
+        .where("n > 1 and probed")
+    return materialize(rows.join(live.select("sig"), "sig", "left_semi"), "members")
+
+
+def node_components(texts: DataFrame, sizes: DataFrame) -> DataFrame:
     """(node, component) of every node that links with another; component is a node id.
 
-    ``texts`` has the one column ``text``, without nulls.
+    ``texts`` has the one column ``text``, without nulls; ``sizes`` is a written list of
+    (node, size), which may repeat nodes.
     """
     sigs = texts.mapInArrow(_emit, "sig long, entry long")
     by_sig = Window.partitionBy("sig")
     node = F.col("entry").bitwiseAND(F.lit(-2))
     shared = (sigs.withColumn("lo", F.min(node).over(by_sig)).withColumn("hi", F.max(node).over(by_sig))
-              .where("lo != hi").select("sig", node.alias("node"), (F.col("entry") != node).alias("probe"))
+              .where("lo != hi").select("sig", node.alias("node"), (F.col("entry") != node).alias("lower"))
               .distinct())
-    members = materialize(shared, "buckets")
-    sizes = members.groupBy("sig").agg(F.count(F.lit(1)).alias("size"), F.max("probe").alias("probed"))
+    members = _probing(materialize(shared, "buckets"), sizes)
     # the node that shares the most is each bucket's leader
-    weight = materialize(members.join(sizes.where("probed"), "sig").groupBy("node")
+    bulk = members.groupBy("sig").agg(F.count(F.lit(1)).alias("size"))
+    weight = materialize(members.join(bulk, "sig").groupBy("node")
                          .agg(F.sum(F.least("size", F.lit(1000))).alias("weight")), "weights")
-    noded = with_nodes(texts, "n", "node")
-    # copies of one set meet again: one of them stays
-    sets = materialize(join_keys(noded, weight.select("node"), "node", "left_semi")
-                       .mapInArrow(_shingle_sets, "node long, set array<long>")
-                       .groupBy("node").agg(F.first("set").alias("set")), "sets")
+    sketches = _described(texts, weight.select("node"), "sketch", "node long, size long, sketch binary")
     leader = (members.join(weight, "node").groupBy("sig")
               .agg(F.max(F.struct("weight", "node", "probe")).alias("lead")))
     stars = materialize(members.join(leader, "sig")
                         .where("node != lead.node and (probe or lead.probe)")
                         .select(F.least("node", "lead.node").alias("a"),
                                 F.greatest("node", "lead.node").alias("b")).distinct(), "star-pairs")
-    links = materialize(_links(stars, sets), "star-links")
+    links = _links(stars, sketches, texts)
     comp = materialize(connected_components(links), "star-components")
 
     # whatever still shares a bucket across components
     left = (members.join(comp, "node", "left")
             .select("sig", "node", "probe", F.coalesce("component", "node").alias("component")))
-    mixed = left.groupBy("sig").agg(F.min("component").alias("lo"), F.max("component").alias("hi"),
-                                    F.max("probe").alias("probed")).where("lo != hi and probed")
-    rows = materialize(left.join(mixed.select("sig"), "sig", "left_semi"), "open-buckets")
-    x = rows.select("sig", F.col("node").alias("a"), F.col("component").alias("ca"), F.col("probe").alias("pa"))
-    y = rows.select("sig", F.col("node").alias("b"), F.col("component").alias("cb"), F.col("probe").alias("pb"))
-    rest = (x.join(y, "sig").where("a < b and ca != cb and (pa or pb)").select("a", "b").distinct()
-            .join(stars, ["a", "b"], "left_anti"))
-    more = materialize(_links(rest, sets), "more-links")
+    mixed = (left.groupBy("sig").agg(F.min("component").alias("lo"), F.max("component").alias("hi"),
+                                     F.max("probe").alias("probed"), F.count(F.lit(1)).alias("n"))
+             .where("lo != hi and probed").select("sig", "n"))
+    blocks = F.ceil(F.col("n") / BLOCK).cast("int")
+    tiled = (left.join(mixed, "sig").withColumn("blocks", blocks)
+             .withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+             .join(sketches, "node")
+             .select("sig", F.least("block", "other").alias("t0"), F.greatest("block", "other").alias("t1"),
+                     "block", "node", "component", "probe", "size", "sketch"))
+    rest = (tiled.repartition("sig", "t0", "t1").sortWithinPartitions("sig", "t0", "t1")
+            .mapInArrow(_tile_pairs, "a long, b long").distinct())
+    rest = materialize(rest.join(stars, ["a", "b"], "left_anti"), "rest-pairs")
+    more = _links(rest, sketches, texts)
     return connected_components(links.unionByName(more))
 
 
@@ -279,7 +408,8 @@ def _grouped(docs: DataFrame) -> DataFrame:
     """Written rows doc_id, n_shingles, node, component (null for the empty set)."""
     ids = id_text(docs)
     rows = materialize(with_nodes(ids, "n_shingles", "node").drop("text"), "nodes")
-    comp = materialize(node_components(ids.select("text")), "components")
+    sizes = rows.where("node != 0").select("node", F.col("n_shingles").alias("size"))
+    comp = materialize(node_components(ids.select("text"), sizes), "components")
     component = F.when(F.col("node") != 0, F.coalesce("component", "node"))
     return rows.join(comp, "node", "left").withColumn("component", component)
 
