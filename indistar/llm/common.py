@@ -171,3 +171,36 @@ def join_keys(rows: DataFrame, keys: DataFrame, on, how: str, limit: int = BROAD
     where they are; a longer list takes the ordinary shuffle join with skew handling.
     """
     return rows.join(F.broadcast(keys) if keys.count() <= limit else keys, on, how)
+
+
+def byte_sums(data: np.ndarray) -> np.ndarray:
+    """Prefix sums of the byte polynomial, for :func:`range_hashes`."""
+    up, _ = powers(len(data) + 1)
+    return np.concatenate([np.zeros(1, U64), np.cumsum(_BYTE[data] * up[:-1], dtype=U64)])
+
+
+def range_hashes(sums: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """64-bit hash of the bytes [start, end) of each range; equal bytes have equal hashes."""
+    _, down = powers(len(sums))
+    return mix((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(U64))
+
+
+def merge_spans(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Union of [start, end) ranges, as maximal ranges in order (touching ones join)."""
+    out: list[tuple[int, int]] = []
+    for a, b in sorted(spans):
+        if out and a <= out[-1][1]:
+            if b > out[-1][1]:
+                out[-1] = (out[-1][0], b)
+        else:
+            out.append((a, b))
+    return out
+
+
+def cut(data: bytes, spans: list[tuple[int, int]]) -> bytes:
+    """``data`` without the (merged) spans."""
+    parts, at = [], 0
+    for a, b in spans:
+        parts.append(data[at:a])
+        at = b
+    return b"".join([*parts, data[at:]])

@@ -7,13 +7,26 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from indistar.llm import chat_format, decontamination, jaccard_join, mixing, quality_rules, sharding
+from indistar.llm import (
+    chat_format,
+    chunk_dedup,
+    decontamination,
+    jaccard_join,
+    mixing,
+    quality_rules,
+    sharding,
+    suffix_dedup,
+)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_chunk_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chunk_dedup.report(table(spark, sf_dir, "documents"))
+
+
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.Mixer(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).rates()
 
@@ -31,6 +44,10 @@ def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_format.digests(chat_format.format_conversations(turns.unionByName(extra)))
 
 
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.report(table(spark, sf_dir, "documents"))
+
+
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -45,6 +62,7 @@ def op9_host_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_mixing, op3_sharding, op4_chat_format, op7_decontamination,
+    f.__name__: f for f in (op1_chunk_dedup, op2_mixing, op3_sharding, op4_chat_format,
+                            op5_suffix_dedup, op7_decontamination,
                             op8_jaccard_join, op9_host_quality)
 }
