@@ -11,11 +11,13 @@ from indistar.llm import (
     chat_format,
     chunk_dedup,
     decontamination,
+    html_extract,
     jaccard_join,
     mixing,
     quality_rules,
     sharding,
     suffix_dedup,
+    toxicity,
 )
 
 
@@ -48,6 +50,11 @@ def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.report(table(spark, sf_dir, "documents"))
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+
+
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -61,8 +68,12 @@ def op9_host_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", *quality_rules.MEASURES, "base_failed", "kept")
 
 
+def op10_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract(table(spark, sf_dir, "pages"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_chunk_dedup, op2_mixing, op3_sharding, op4_chat_format,
-                            op5_suffix_dedup, op7_decontamination,
-                            op8_jaccard_join, op9_host_quality)
+                            op5_suffix_dedup, op6_toxicity, op7_decontamination,
+                            op8_jaccard_join, op9_host_quality, op10_html_extract)
 }
