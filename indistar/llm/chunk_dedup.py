@@ -111,6 +111,20 @@ def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield batch()
 
 
+def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(d1, n) of the chunks of a batch, equal ones added up."""
+    for b in batches:
+        found = [np.empty(0, np.int64)]
+        for text in b.column("text").to_pylist():
+            data = np.frombuffer(text.encode("utf-8", "surrogatepass"), dtype=np.uint8)
+            ends = chunk_ends(data)
+            if len(ends):
+                starts = np.concatenate([np.zeros(1, np.int64), ends[:-1]])
+                found.append(as_long(range_hashes(byte_sums(data), starts, ends)))
+        d, n = np.unique(np.concatenate(found), return_counts=True)
+        yield pa.RecordBatch.from_arrays([pa.array(d), pa.array(n.astype(np.int64))], names=["d1", "n"])
+
+
 def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """A document's repeated chunks to its removed spans and its repeated bytes."""
     for b in batches:
@@ -138,7 +152,9 @@ def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def find_spans(rows: DataFrame) -> DataFrame:
     """Written rows (_row, doc_id, text) to (row, spans, repeated) of documents with repeats."""
     chunks = rows.select("_row", "text").mapInArrow(_chunks, "d1 long, d2 long, row long, start int, length int")
-    again = chunks.groupBy("d1").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("d1")
+    # written, so that the join below stands on plain exchanges and a hot digest is split
+    again = materialize(rows.select("text").mapInArrow(_digests, "d1 long, n long").groupBy("d1")
+                        .agg(F.sum("n").alias("n")).where("n > 1").select("d1"), "repeated-digests")
     shared = materialize(chunks.join(again, "d1", "left_semi"), "shared-chunks")
     ids = rows.select(F.col("_row").alias("row"), F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id").alias("id"))
     order = F.struct("id", "row", "start")
@@ -156,7 +172,7 @@ def find_spans(rows: DataFrame) -> DataFrame:
 def _joined(rows: DataFrame) -> DataFrame:
     spans = find_spans(rows).withColumnRenamed("row", "_row").withColumnRenamed("spans", "_spans") \
         .withColumnRenamed("repeated", "_repeated")
-    return join_keys(rows, spans, "_row", "left")
+    return join_keys(rows, spans, "_row", "left", F.size("_spans"))
 
 
 def remove(docs: DataFrame) -> DataFrame:

@@ -160,17 +160,20 @@ def free_name(df: DataFrame, name: str) -> str:
     return name
 
 
-#: Rows of a key list that may be broadcast (a few tens of MB); longer lists are shuffled.
-BROADCAST_ROWS = 2_000_000
+#: Entries of a key list that may be broadcast (a few tens of MB); longer lists are shuffled.
+BROADCAST_ROWS = 1_000_000
 
 
-def join_keys(rows: DataFrame, keys: DataFrame, on, how: str, limit: int = BROADCAST_ROWS) -> DataFrame:
+def join_keys(rows: DataFrame, keys: DataFrame, on, how: str, entries=None,
+              limit: int = BROADCAST_ROWS) -> DataFrame:
     """Join wide ``rows`` with a written list of short ``keys``.
 
-    The list is counted first: up to ``limit`` rows it is broadcast, so the wide rows stay
-    where they are; a longer list takes the ordinary shuffle join with skew handling.
+    The list is counted first (``entries``: a column that says how many each row holds): up to
+    ``limit`` it is broadcast, so the wide rows stay where they are; a longer list takes the
+    ordinary shuffle join with skew handling.
     """
-    return rows.join(F.broadcast(keys) if keys.count() <= limit else keys, on, how)
+    size = keys.count() if entries is None else keys.agg(F.sum(entries)).first()[0] or 0
+    return rows.join(F.broadcast(keys) if size <= limit else keys, on, how)
 
 
 def byte_sums(data: np.ndarray) -> np.ndarray:

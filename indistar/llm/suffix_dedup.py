@@ -47,6 +47,8 @@ from indistar.llm.common import (
     join_keys,
     materialize,
     merge_spans,
+    mix,
+    powers,
     range_hashes,
     with_row_key,
 )
@@ -62,42 +64,54 @@ ANCHOR_FIELDS = "h long, h2 long, context long, row long, lo long, n int, off in
 
 
 def window_minima(x: np.ndarray, width: int) -> np.ndarray:
-    """Position of the least value (leftmost of equals) of every run of ``width`` values."""
+    """Position of the least value of every run of ``width`` values.
+
+    Values count by their upper 32 bits, of equals the leftmost; the position rides in the lower 32.
+    """
     n = len(x) - width + 1
-    pad = -len(x) % width
-    y = np.concatenate([x, np.full(pad, np.uint64(0xFFFFFFFFFFFFFFFF))]).reshape(-1, width)
+    low = np.uint64(0xFFFFFFFF)
+    y = np.full(len(x) + (-len(x) % width), np.uint64(0xFFFFFFFFFFFFFFFF))
+    y[:len(x)] = (x & ~low) | np.arange(len(x), dtype=np.uint64)
+    y = y.reshape(-1, width)
     left = np.minimum.accumulate(y[:, ::-1], axis=1)[:, ::-1].ravel()  # from a place to its block's end
     right = np.minimum.accumulate(y, axis=1).ravel()  # from its block's start to a place
-    least = np.minimum(left[:n], right[width - 1:width - 1 + n])
-    # the leftmost place in the run that holds the least value
-    order = np.argsort(x, kind="stable")
-    ranked = x[order]
-    first = np.searchsorted(ranked, least, side="left")
-    at = order[first]
-    late = at < np.arange(n)  # an equal value before the run: look on for those few
-    for i in np.flatnonzero(late).tolist():
-        k = np.searchsorted(ranked, least[i], side="right")
-        same = order[first[i]:k]
-        at[i] = same[np.searchsorted(same, i)]
-    return at
+    return (np.minimum(left[:n], right[width - 1:width - 1 + n]) & low).astype(np.int64)
 
 
-def contexts(data: np.ndarray) -> tuple[np.ndarray, ...] | None:
-    """(h, h2, context hash, first start, starts, core's offset) of a text's contexts."""
+def cores(data: np.ndarray) -> tuple[np.ndarray, ...] | None:
+    """(prefix sums, core hashes, first starts, last starts, core positions) of a text's contexts."""
     if len(data) < WIDTH:
         return None
-    sums, other = byte_sums(data), byte_sums(data ^ np.uint8(0x5A))
-    places = np.arange(len(data) - CORE + 1)
-    h = range_hashes(sums, places, places + CORE)
+    sums = byte_sums(data)
+    n = len(data) - CORE + 1
+    h = mix((sums[CORE:] - sums[:n]) * powers(n)[1] + np.uint64(CORE))
     core = window_minima(h, BLOCK)
     lo = np.concatenate([np.zeros(1, np.int64), np.flatnonzero(core[1:] != core[:-1]) + 1])
     hi = np.concatenate([lo[1:] - 1, [len(core) - 1]])
     p = core[lo]
-    context = range_hashes(sums, lo, hi + WIDTH)
-    return (as_long(h[p]), as_long(range_hashes(other, p, p + CORE)), as_long(context), lo,
+    return sums, as_long(h[p]), lo, hi, p
+
+
+def contexts(data: np.ndarray) -> tuple[np.ndarray, ...] | None:
+    """(h, h2, context hash, first start, starts, core's offset) of a text's contexts."""
+    found = cores(data)
+    if found is None:
+        return None
+    sums, h, lo, hi, p = found
+    other = byte_sums(data ^ np.uint8(0x5A))
+    return (h, as_long(range_hashes(other, p, p + CORE)), as_long(range_hashes(sums, lo, hi + WIDTH)), lo,
             (hi - lo + 1).astype(np.int32), (p - lo).astype(np.int32))
 
 
+def _core_hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(h, n) of the cores of a batch, equal ones added up."""
+    for b in batches:
+        found = [cores(np.frombuffer(t.encode("utf-8", "surrogatepass"), dtype=np.uint8))
+                 for t in b.column("text").to_pylist()]
+        h, n = np.unique(np.concatenate([np.empty(0, np.int64), *(f[1] for f in found if f)]), return_counts=True)
+        yield pa.RecordBatch.from_arrays([pa.array(h), pa.array(n.astype(np.int64))], names=["h", "n"])
+
+
 def _anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     names = [f.split()[0] for f in ANCHOR_FIELDS.split(", ")]
     out, held = [], 0
@@ -348,7 +362,9 @@ def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def find_spans(rows: DataFrame) -> DataFrame:
     """Written rows (_row, text) to (_row, _spans): the maximal repeated byte runs."""
     anchors = rows.select("_row", "text").mapInArrow(_anchors, ANCHOR_FIELDS)
-    again = anchors.groupBy("h").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select("h")
+    # written, so that the join below stands on plain exchanges and a hot core is split
+    again = materialize(rows.select("text").mapInArrow(_core_hashes, "h long, n long").groupBy("h")
+                        .agg(F.sum("n").alias("k")).where("k > 1").select("h"), "repeated-cores")
     shared = materialize(anchors.join(again, "h", "left_semi"), "shared-cores")
     key = ["h", "h2", "context", "n", "off"]
     kinds = materialize(shared.groupBy(*key).agg(F.count(F.lit(1)).alias("copies"), F.min(F.struct("row", "lo")).alias("one")),
@@ -357,10 +373,11 @@ def find_spans(rows: DataFrame) -> DataFrame:
         .select("row", F.col("lo").alias("start"), (F.col("lo") + F.col("n") - 1 + WIDTH).alias("end"))
 
     several = kinds.groupBy("h", "h2").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select("h", "h2")
+    several = materialize(several, "shared-by-several")
     one = kinds.join(several, ["h", "h2"], "left_semi").select("h", "h2", "copies", "one.row", "one.lo", "n", "off")
     wanted = materialize(one.groupBy(F.col("row").alias("_row"))
                          .agg(F.collect_list(F.struct("h", "h2", "copies", "lo", "n", "off")).alias("wanted")), "wanted")
-    sides = materialize(join_keys(rows.select("_row", "text"), wanted, "_row", "inner")
+    sides = materialize(join_keys(rows.select("_row", "text"), wanted, "_row", "inner", F.size("wanted"))
                         .mapInArrow(_sides, SIDE_FIELDS), "sides")
     found = []
     for _ in range(BLOCK.bit_length()):
@@ -390,5 +407,5 @@ def find_spans(rows: DataFrame) -> DataFrame:
 def report(docs: DataFrame) -> DataFrame:
     """Per document: doc_id, n_bytes, n_removed, n_spans, kept_sha256 of the remaining bytes."""
     rows = with_row_key(id_text(docs))
-    return span_report(join_keys(rows, find_spans(rows), "_row", "left"), "_spans") \
+    return span_report(join_keys(rows, find_spans(rows), "_row", "left", F.size("_spans")), "_spans") \
         .select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
