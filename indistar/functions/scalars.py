@@ -143,5 +143,7 @@ def stable_round(c: Column | str, digits: int = 2) -> Column:
     wrappers; the models themselves return unrounded values.
     """
     c = F.col(c) if isinstance(c, str) else c
-    scale = 10 ** digits
-    return (F.floor(c * F.lit(float(scale)) + F.lit(0.5 + 1e-6)) / F.lit(float(scale))).cast("double")
+    scale = F.lit(float(10 ** digits))
+    rounded = (F.floor(c * scale + F.lit(0.5 + 1e-6)) / scale).cast("double")
+    # floor gives a bigint: values beyond its range, infinities and NaN stay as they are
+    return F.when(F.isnan(c) | (F.abs(c) >= 1e15), c).otherwise(rounded)

@@ -43,7 +43,8 @@ def unique(df: DataFrame, column: str) -> DataFrame:
 
 def relationships(child: DataFrame, column: str, parent: DataFrame, field: str) -> DataFrame:
     """Child rows whose key is set but absent from the parent."""
-    parent_keys = parent.select(F.col(field).alias("__parent_key")).distinct()
+    # no distinct: an anti join ignores repeats, and plain exchanges let AQE split a hot key
+    parent_keys = parent.select(F.col(field).alias("__parent_key"))
     return (child.where(F.col(column).isNotNull())
             .join(parent_keys, F.col(column) == F.col("__parent_key"), "left_anti"))
 

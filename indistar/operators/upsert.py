@@ -6,46 +6,27 @@ delete-then-insert semantics of an incremental model with a unique key.
 Applying the same batch again gives the same table (idempotent), so a retried
 run or a replayed micro-batch is harmless.
 
-Storage is plain Parquet in versioned folders ``<root>/v=<n>/``: a version is
-current once its write committed (``_SUCCESS``), and the newest committed one
-wins. Spark cannot overwrite a path it is reading, so the new version is
-written beside the old; a failed write never becomes current. A single
-writer per table is assumed.
-
-Scale: the batch is reduced to its distinct keys (partial aggregation before
-the shuffle) and anti-joined with the current rows. A small batch's key set
-is broadcast by the planner from its size estimate (or by AQE from the
-shuffle statistics) so the table is not shuffled at all; a large one gives a
-sort-merge anti join in which AQE splits a key holding a third of the rows.
+Storage is plain Parquet in versioned folders (:mod:`indistar.sources.versions`): the new
+version is written beside the old; a failed write never becomes current, and versions
+beyond the newest ``KEPT_VERSIONS`` go once the new one is committed.
+
+Scale: the batch is written once, beside the versions, and its key column is
+anti-joined with the current rows. A small batch is broadcast by the planner from its file
+size, so the table is not shuffled; a large one gives a sort-merge anti join on two plain
+exchanges, in which AQE splits a key that holds a third of the table (an aggregate between
+exchange and sort, such as a distinct of the keys, would prevent that).
 """
 
 from __future__ import annotations
 
-import re
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from indistar.sources import fs
+from indistar.sources import fs, versions
+from indistar.sources.versions import current_path
 
-_VERSION = re.compile(r"^v=(\d+)$")
-
-
-def _versions(spark: SparkSession, root: str) -> list[int]:
-    out = []
-    for name in fs.list_dirs(spark, root):
-        m = _VERSION.match(name)
-        if m and fs.is_complete(spark, f"{root.rstrip('/')}/{name}"):
-            out.append(int(m.group(1)))
-    return sorted(out)
-
-
-def version_path(root: str, version: int) -> str:
-    return f"{root.rstrip('/')}/v={version:08d}"
-
-
-def current_path(spark: SparkSession, root: str) -> str | None:
-    versions = _versions(spark, root)
-    return version_path(root, versions[-1]) if versions else None
+KEPT_VERSIONS = 3
 
 
 def read_current(spark: SparkSession, root: str) -> DataFrame:
@@ -59,29 +40,28 @@ def merge_batch(current: DataFrame | None, batch: DataFrame, key: str) -> DataFr
     """The upserted rows, lazily: the anti join (J05) plus the batch."""
     if current is None:
         return batch
-    batch_keys = batch.select(key).distinct()
-    kept = current.join(batch_keys, on=key, how="left_anti")
+    kept = current.join(batch.select(key), on=key, how="left_anti")
     return kept.unionByName(batch.select(*current.columns))
 
 
 def upsert(batch: DataFrame, root: str, key: str) -> str:
     """Write the next version of the table at ``root``; returns its path."""
     spark = batch.sparkSession
-    versions = _versions(spark, root)
-    current = spark.read.parquet(version_path(root, versions[-1])) if versions else None
-    nxt = version_path(root, (versions[-1] + 1) if versions else 1)
-    if fs.exists(spark, nxt):  # leftovers of a failed attempt
-        fs.delete(spark, nxt)
-    merge_batch(current, batch, key).write.mode("overwrite").parquet(nxt)
+    root = root.rstrip("/")
+    at = versions.current_path(spark, root)
+    if at is None:
+        nxt = versions.next_path(spark, root)
+        batch.write.parquet(nxt)
+        return nxt
+    landed = f"{root}/batch-{uuid.uuid4().hex[:12]}"
+    batch.write.parquet(landed)
+    nxt = versions.next_path(spark, root)
+    merge_batch(spark.read.parquet(at), spark.read.parquet(landed), key).write.parquet(nxt)
+    fs.delete(spark, landed)
+    vacuum(spark, root, KEPT_VERSIONS)
     return nxt
 
 
 def vacuum(spark: SparkSession, root: str, keep: int = 2) -> list[str]:
     """Drop committed versions older than the newest ``keep``."""
-    versions = _versions(spark, root)
-    dropped = []
-    for v in versions[:-keep] if keep > 0 else versions:
-        path = version_path(root, v)
-        fs.delete(spark, path)
-        dropped.append(path)
-    return dropped
+    return versions.vacuum(spark, root, keep)

@@ -292,9 +292,16 @@ def adhoc_sql(spark, sf_dir):
 
 
 def published_inventory(spark, sf_dir):
-    """What was published, per mart (sizes vary by writer: rows-only check)."""
-    root, _ = _published(spark, sf_dir)
-    return publish.inventory(spark, root, PUBLISH_PREFIX).select("mart", "n_files", "total_bytes")
+    """What was published, per mart; sizes vary by writer, so it says whether files and
+    bytes were listed, and the rows that reading the mart back gives."""
+    root, uris = _published(spark, sf_dir)
+    listed = publish.inventory(spark, root, PUBLISH_PREFIX).select(
+        "mart", (F.col("n_files") > 0).alias("has_files"), (F.col("total_bytes") > 0).alias("has_bytes"))
+    counts = None
+    for name, uri in uris.items():
+        one = spark.read.parquet(uri).agg(F.lit(name).alias("mart"), F.count(F.lit(1)).alias("n_rows"))
+        counts = one if counts is None else counts.unionByName(one)
+    return listed.join(counts, "mart")
 
 
 # ---------------------------------------------------------------- data quality

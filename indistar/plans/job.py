@@ -22,7 +22,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -131,7 +131,6 @@ class JobResult:
     report: DataFrame
     inventory: DataFrame
     landed_now: bool = True
-    extra: dict = field(default_factory=dict)
 
 
 def materialize(spark: SparkSession, clean_df: DataFrame, work_root: str,
@@ -162,9 +161,10 @@ def run(spark: SparkSession, params: JobParams, work_root: str,
         raw: DataFrame | None = None, fail_on_dq: bool = True) -> JobResult:
     """Run the whole job. ``raw`` overrides the CSV input (N02 resolution)."""
     work_root = work_root.rstrip("/")
-    if raw is None:
-        raw = read_raw_csv(spark, params.resolved_csv_uri())          # N01/N02
-    landed_df, landed_now = land_raw(raw, f"{work_root}/raw", force=params.force_landing)  # N03/N04
+    source = raw if raw is not None else (                            # N01/N02, opened if needed
+        lambda: read_raw_csv(spark, params.resolved_csv_uri(), params.multi_line))
+    landed_df, landed_now = land_raw(source, f"{work_root}/raw", force=params.force_landing,
+                                     spark=spark)                     # N03/N04
 
     staged_path = f"{work_root}/stg_clean"
     staging.clean(landed_df, strip=params.strip).write.mode("overwrite").parquet(staged_path)

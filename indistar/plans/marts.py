@@ -79,12 +79,19 @@ def year_state(clean_df: DataFrame, ordered: bool = True) -> DataFrame:
             .select("year", "state", "state_name",
                     indicator("topic", "question").alias("indicator_name"),
                     "value", "low_ci", "high_ci"))
-    out = (base.groupBy("year", "state", "indicator_name")
-           .agg(F.max("state_name").alias("state_name"),
-                F.avg("value").alias("avg_value"),
-                F.count(F.lit(1)).alias("record_count"),
-                F.avg("low_ci").alias("avg_low_ci"),
-                F.avg("high_ci").alias("avg_high_ci"))
+    # observations are summed by hash, with the name among the keys; the largest name is then
+    # taken over those few sums (max of a string would sort all observations)
+    def mean(c: str):
+        return F.sum(f"{c}_sum") / F.nullif(F.sum(f"{c}_n"), F.lit(0))
+
+    sums = base.groupBy("year", "state", "indicator_name", "state_name").agg(
+        F.count(F.lit(1)).alias("n"),
+        *(x for c in ("value", "low_ci", "high_ci")
+          for x in (F.sum(c).alias(f"{c}_sum"), F.count(c).alias(f"{c}_n"))))
+    out = (sums.groupBy("year", "state", "indicator_name")
+           .agg(F.max("state_name").alias("state_name"), mean("value").alias("avg_value"),
+                F.sum("n").alias("record_count"), mean("low_ci").alias("avg_low_ci"),
+                mean("high_ci").alias("avg_high_ci"))
            .select("year", "state", "state_name", "indicator_name", "avg_value", "record_count",
                    "avg_low_ci", "avg_high_ci"))
     return out.orderBy(*_asc("year", "state", "indicator_name")) if ordered else out

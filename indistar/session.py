@@ -30,7 +30,6 @@ SESSION_DEFAULTS = {
     # code generation there instead of running interpreted bytecode.
     "spark.sql.codegen.hugeMethodLimit": "8000",
     "spark.ui.enabled": "false",
-    # checkpoint files of spread scans are removed once no plan refers to them
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
@@ -65,25 +64,23 @@ def get_spark(master: str | None = None, app_name: str = "indistar",
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared folder named by ``spark.checkpoint.dir``.
+    """Return the shared folder for written intermediates.
 
-    On a cluster this is the folder the deployment configures and it is only
-    read. A machine-local scratch folder is made only when nothing is
-    configured at all (tests, local runs).
+    The session's own checkpoint folder comes first, then ``spark.checkpoint.dir``. A
+    machine-local scratch folder is made only where neither is set and the master is local
+    (tests, local runs); on a cluster that raises, as executors would not share it.
     """
     sc = spark.sparkContext
-    path = sc.getConf().get("spark.checkpoint.dir", None) or _LOCAL_FALLBACK.get(sc.applicationId)
+    path = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
     if not path:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         path = tempfile.mkdtemp(prefix="indistar-ckpt-")
-        _LOCAL_FALLBACK[sc.applicationId] = path
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(path)
     return path
 
 
-_LOCAL_FALLBACK: dict[str, str] = {}
-
-
 def work_dir(spark: SparkSession, name: str | None = None) -> str:
     """A fresh folder under the shared checkpoint folder for written tables.
 
@@ -96,15 +93,6 @@ def work_dir(spark: SparkSession, name: str | None = None) -> str:
     return f"{root}/{leaf}-{uuid.uuid4().hex[:12]}"
 
 
-def local_path(uri: str) -> str:
-    """Strip a ``file:`` scheme so a local path can be used by Python code."""
-    if uri.startswith("file://"):
-        return uri[len("file://"):]
-    if uri.startswith("file:"):
-        return uri[len("file:"):]
-    return uri
-
-
 def env_or(name: str, default: str) -> str:
     value = os.environ.get(name)
     return value if value else default

@@ -6,14 +6,17 @@ every column stays a string, and no scan is spent inferring. ``escape='"'``
 reads doubled quotes inside quoted fields and ``multiLine`` keeps newlines
 inside quoted fields in the value, as the reference's CSV reader does.
 
-A multi-line CSV file cannot be split, so each file is one task; the landing
-step (:mod:`indistar.sources.landing`) spreads the rows before writing
-Parquet, and everything downstream reads that Parquet.
+All files of a folder must have the same header, in the same order, and every row as many
+fields; anything else raises, so no value lands in a wrong column.
+
+A multi-line CSV file cannot be split, so each file is one task; ``multi_line=False`` splits
+files where no field holds a newline. Everything downstream of the landing reads Parquet.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from indistar.sources.contract import check_contract
 
@@ -30,7 +33,13 @@ def csv_reader(spark: SparkSession, multi_line: bool = True):
 def read_raw_csv(spark: SparkSession, path: str, multi_line: bool = True,
                  require_rows: bool = False) -> DataFrame:
     """Raw rows under the contract: the 34 columns, all strings."""
-    return check_contract(csv_reader(spark, multi_line).csv(path), require_rows=require_rows)
+    reader = csv_reader(spark, multi_line)
+    names = reader.csv(path).columns  # the header of one file
+    rows = (reader.schema(T.StructType([T.StructField(n, T.StringType()) for n in names]))
+            .option("enforceSchema", False)  # every other file's header must equal it
+            .option("mode", "FAILFAST")      # too long and too short rows raise
+            .csv(path))
+    return check_contract(rows, require_rows=require_rows)
 
 
 def write_raw_csv(df: DataFrame, path: str) -> None:

@@ -3,7 +3,7 @@
 N05  views: a model is a lazy DataFrame, registered under its name
 N06  table materialisation: full rebuild, written as Parquet
 N09  one Parquet dataset per mart, overwritten on every run
-N10  output prefix: one trailing '/' stripped; an empty prefix writes at the root
+N10  output prefix: '/' stripped at both ends; an empty prefix writes at the root
 N11  listing of what was published (file metadata only, no content read)
 N12  ad-hoc SQL over the published tables
 
@@ -21,9 +21,8 @@ from pyspark.sql import functions as F
 
 
 def output_prefix(prefix: str | None) -> str:
-    """Strip one trailing '/'."""
-    prefix = prefix or ""
-    return prefix[:-1] if prefix.endswith("/") else prefix
+    """No '/' at either end."""
+    return (prefix or "").strip("/")
 
 
 def output_uri(root: str, prefix: str | None, name: str) -> str:

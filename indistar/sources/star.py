@@ -23,21 +23,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from indistar.sources.contract import RAW_COLUMNS
-from indistar.sources.scan import read_parquet, spread
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str, *cols: str) -> DataFrame:
-    df = read_parquet(spark, f"{sf_dir.rstrip('/')}/{name}.parquet")
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
     return df.select(*cols) if cols else df
 
 
 def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The joined observation grain, typed (before the text rendering)."""
-    # The fact-grain scan: spread over the cores when the input is under-split
-    # (a single row group), so the staging filters pushed into it run in parallel.
-    li = spread(read_table(spark, sf_dir, "lineitem", "l_orderkey", "l_partkey", "l_linenumber",
-                           "l_extendedprice", "l_returnflag", "l_linestatus", "l_shipdate"),
-                materialize=True)
+    # read as it is: filters and column selection of whatever model follows reach the scan
+    li = read_table(spark, sf_dir, "lineitem", "l_orderkey", "l_partkey", "l_linenumber",
+                    "l_extendedprice", "l_returnflag", "l_linestatus", "l_shipdate")
     orders = read_table(spark, sf_dir, "orders", "o_orderkey", "o_custkey", "o_orderstatus",
                         "o_orderpriority")
     cust = read_table(spark, sf_dir, "customer", "c_custkey", "c_nationkey", "c_mktsegment")
