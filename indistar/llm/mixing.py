@@ -31,11 +31,12 @@ from pyspark.sql import functions as F
 from indistar.llm.common import materialize
 
 DOMAINS = ("high", "low", "toxic")
-#: Target token shares of the mix, as parts of the tokens that go in.
-TARGETS = {"high": 0.80, "low": 0.12, "toxic": 0.08}
+#: Default target weights: each domain's measured token share times this, scaled to sum to 1. Targets
+#: that follow the corpus are always within reach and repeat no domain many times over.
+TILT = {"high": 1.0, "low": 0.75, "toxic": 0.4}
 LEXICON_ROWS = 20_000
 LEXICON_WORDS = 24
-ITERATIONS, TOLERANCE, SAFE_STEPS = 60, 1e-4, 6
+ITERATIONS, TOLERANCE, SAFE_STEPS = 30, 1e-4, 6
 MIN_VARIANCE = 1e-2
 SYMBOLS = "#*$%&|<>"
 
@@ -64,8 +65,8 @@ def learn_lexicons(docs: DataFrame, known: DataFrame, rows: int = LEXICON_ROWS)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     seen = texts.join(F.broadcast(sample), "doc_id")  # at most ``rows`` rows
     each = seen.select("domain", F.explode(F.array_distinct(words(F.col("text")))).alias("word"))
-    counts = (each.where("word != ''").groupBy("word")
-              .agg(*(F.sum((F.col("domain") == d).cast("double")).alias(d) for d in DOMAINS)))
+    counts = materialize(each.where("word != ''").groupBy("word")
+                         .agg(*(F.sum((F.col("domain") == d).cast("double")).alias(d) for d in DOMAINS)), "words")
     total = {r["domain"]: r["count"] for r in seen.groupBy("domain").count().collect()}
     out = []
     for d in DOMAINS:
@@ -184,10 +185,20 @@ def fit_rates(table: DataFrame, targets: dict[str, float], iterations: int = ITE
     return steps
 
 
+def tilted(table: DataFrame, tilt: dict[str, float] | None = None) -> dict[str, float]:
+    """Target shares: the measured shares times ``tilt``, scaled to sum to 1."""
+    tilt = tilt or TILT
+    w = F.col("_tokens").cast("double")
+    sums = table.agg(*(F.sum(w * F.col(f"_p{i}")) for i in range(len(DOMAINS)))).first()
+    raw = [(s or 0.0) * tilt[d] for s, d in zip(sums, DOMAINS, strict=True)]
+    return {d: x / (sum(raw) or 1.0) for d, x in zip(DOMAINS, raw, strict=True)}
+
+
 class Mixer:
     """Classifier and rates fitted to one corpus; gives columns for any rows of that corpus."""
 
     def __init__(self, docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None = None):
+        """``targets``: wanted share of the input's tokens per domain; None: :func:`tilted`."""
         known = materialize(labelled(labels), "known")
         self.lexicons = learn_lexicons(docs, known)
         ids = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
@@ -197,7 +208,8 @@ class Mixer:
         p = posteriors(self.classes, self.names)
         self.table = materialize(measured.select("doc_id", "_tokens", *(x.alias(f"_p{i}") for i, x in enumerate(p))),
                                  "posteriors")
-        self.steps = fit_rates(self.table, targets or TARGETS)
+        self.targets = targets or tilted(self.table)
+        self.steps = fit_rates(self.table, self.targets)
 
     def rates(self) -> DataFrame:
         """doc_id, n_tokens, the posteriors and the rate of every document."""
@@ -211,14 +223,16 @@ class Mixer:
 
         A rate's whole part gives copies for certain and its fraction one more by a digest of
         the row, so a rate of one or more never loses a document and a re-run agrees. The
-        rate follows from the row itself; nothing is joined or shuffled.
+        rate follows from the row itself; nothing is joined or shuffled. Columns of ``docs``
+        must not start with ``_``.
         """
         rows, _ = with_features(docs, self.lexicons)
-        p = posteriors(self.classes, self.names)
-        rows = rows.withColumns({f"_p{i}": x for i, x in enumerate(p)})
+        # written, so that the optimizer cannot copy the measures' expressions into each of their uses
+        rows = materialize(rows, "rows")
+        rows = rows.withColumns({f"_p{i}": x for i, x in enumerate(posteriors(self.classes, self.names))})
         rate = rate_of([F.col(f"_p{i}") for i in range(len(DOMAINS))], self.steps)
         draw = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30).cast("long")) / float(1 << 30)
-        copies = F.floor(rate + draw).cast("int")
-        return (rows.withColumn("_copies", copies).where("_copies > 0")
-                .withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
+        rows = materialize(rows.withColumn("_copies", F.floor(rate + draw).cast("int")).select(*docs.columns, "_copies"),
+                           "copies")
+        return (rows.withColumn("_copy", F.explode(F.array_repeat(F.lit(1), F.col("_copies"))))
                 .select(*docs.columns))
