@@ -45,6 +45,8 @@ _WORDS = re.compile(r"[a-z]+")
 # fixed values: tag sets of the HTML standard
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 DROPPED = frozenset("script style noscript template head title svg iframe object math".split())
+#: Of the dropped ones, those that may stand inside a paragraph and do not end it.
+UNSEEN = DROPPED - {"head", "title"}
 INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark nobr q "
                    "rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split())
 NO_PARAGRAPH = frozenset("address article aside blockquote div dl fieldset footer form h1 h2 h3 h4 h5 h6 header hr main "
@@ -105,7 +107,7 @@ def leaf_blocks(page: str) -> list[Block]:
         if tag is None:
             continue
         tag = tag.lower()
-        if tag not in INLINE:
+        if tag not in INLINE and tag not in UNSEEN:
             flush()
         elif tag in ("br", "img", "wbr"):
             parts.append(" ")
