@@ -201,7 +201,10 @@ def report(docs: DataFrame) -> DataFrame:
 
 
 def span_report(rows: DataFrame, spans: str) -> DataFrame:
-    """``rows`` with n_bytes, n_removed, n_spans and kept_sha256 of ``text`` without ``spans``."""
+    """``rows`` with n_bytes, n_removed, n_spans and kept_sha256 of ``text`` without ``spans``.
+
+    Each text goes to Python once and does not come back: ``text`` and ``spans`` are dropped.
+    """
     fields = T.StructType([T.StructField("n_bytes", T.LongType()), T.StructField("n_removed", T.LongType()),
                            T.StructField("n_spans", T.LongType()), T.StructField("kept_sha256", T.StringType())])
 
@@ -213,4 +216,5 @@ def span_report(rows: DataFrame, spans: str) -> DataFrame:
             out.append((len(data), sum(b - a for a, b in gone), len(gone), hashlib.sha256(cut(data, gone)).hexdigest()))
         return [list(c) for c in zip(*out, strict=True)] if out else [[] for _ in fields]
 
-    return append_columns(rows.withColumn("_in", F.struct("text", spans)), "_in", fields, compute)
+    inputs = rows.select(*(c for c in rows.columns if c not in ("text", spans)), F.struct("text", spans).alias("_in"))
+    return append_columns(inputs, "_in", fields, compute, keep_source=False)

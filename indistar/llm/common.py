@@ -133,23 +133,27 @@ def as_long(x: np.ndarray) -> np.ndarray:
 
 
 def append_columns(df: DataFrame, source: str, fields: T.StructType,
-                   compute: Callable[[list], Sequence]) -> DataFrame:
+                   compute: Callable[[list], Sequence], keep_source: bool = True) -> DataFrame:
     """``df`` with ``fields`` added, computed batch by batch from the column ``source``.
 
     ``compute`` gets the batch's values and returns one array or list per field. The other
-    columns pass through as Arrow arrays, so their types and nulls stay as they are.
+    columns pass through as Arrow arrays, so their types and nulls stay as they are; ``source``
+    itself does not come back where ``keep_source`` is false.
     """
     from pyspark.sql.pandas.types import to_arrow_schema
 
     added = list(to_arrow_schema(fields))
+    kept = [f for f in df.schema.fields if keep_source or f.name != source]
+    names = [f.name for f in kept]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             new = compute(b.column(b.schema.get_field_index(source)).to_pylist())
-            cols = [*b.columns, *(pa.array(x, type=f.type) for x, f in zip(new, added, strict=True))]
-            yield pa.RecordBatch.from_arrays(cols, names=[*b.schema.names, *(f.name for f in added)])
+            cols = [*(b.column(b.schema.get_field_index(n)) for n in names),
+                    *(pa.array(x, type=f.type) for x, f in zip(new, added, strict=True))]
+            yield pa.RecordBatch.from_arrays(cols, names=[*names, *(f.name for f in added)])
 
-    return df.mapInArrow(run, T.StructType([*df.schema.fields, *fields.fields]))
+    return df.mapInArrow(run, T.StructType([*kept, *fields.fields]))
 
 
 def free_name(df: DataFrame, name: str) -> str:
