@@ -21,7 +21,7 @@ from indistar.operators import quality, upsert
 from indistar.plans import dims, facts, job, marts, staging
 from indistar.session import work_dir
 from indistar.sources import publish
-from indistar.sources.contract import RAW_COLUMNS
+from indistar.sources.contract import RAW_COLUMNS, JobParams
 from indistar.sources.csv import read_raw_csv, write_raw_csv
 from indistar.sources.landing import land_raw
 from indistar.sources.star import raw_from_star
@@ -342,6 +342,32 @@ def dq_report(spark, sf_dir):
     return quality.run_checks(models, job.DECLARED_CHECKS)
 
 
+# Per table of the job: the year column and what is summed (hundredths of values, or counts).
+JOB_SUMS = {
+    "agg_norm_question": ("start_year", "cast(round(value * 100) as bigint)"),
+    "agg_indicator_trend": ("year", "n_obs"),
+    "agg_indicator_year_overall": ("year", "n_obs"),
+    "agg_indicator_year_state": ("year", "record_count"),
+    "fact_base": ("year_start", "cast(round(data_value * 100) as bigint)"),
+    "fact_strat": ("year_start", "cast(round(data_value * 100) as bigint)"),
+}
+
+
+def whole_job_from_csv(spark, sf_dir):
+    """The job run from a CSV path; per table it wrote, its rows and sums."""
+    root = work_dir(spark, "whole_job")
+    write_raw_csv(raw_from_star(spark, sf_dir), f"{root}/csv")
+    res = job.run(spark, JobParams(csv_uri=f"{root}/csv", output_prefix=PUBLISH_PREFIX), f"{root}/work")
+    out = None
+    for name, path in {**res.dims, **res.facts, **res.published}.items():
+        year, amount = JOB_SUMS.get(name, ("0", "0"))
+        one = spark.read.parquet(path).agg(
+            F.lit(name).alias("table_name"), F.count(F.lit(1)).alias("n_rows"),
+            F.sum(F.expr(year)).alias("year_sum"), F.sum(F.expr(amount)).alias("amount_sum"))
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
 def queries() -> dict[str, Query]:
     out: dict[str, Query] = {
         "stg_raw": stg_raw,
@@ -376,5 +402,6 @@ def queries() -> dict[str, Query]:
         "dq_relationships": dq_relationships,
         "dq_unique_combination": dq_unique_combination,
         "dq_report": dq_report,
+        "whole_job_from_csv": whole_job_from_csv,
     })
     return out
