@@ -46,7 +46,6 @@ from indistar.llm.common import (
     id_text,
     join_keys,
     materialize,
-    merge_spans,
     mix,
     powers,
     range_hashes,
@@ -59,6 +58,10 @@ CORE = WIDTH - BLOCK + 1
 LARGEST = 4096
 #: Strings that one collection of several cores holds at about.
 BATCH = 1500
+#: Windows of a text that are hashed in one go; memory is about 100 bytes for each.
+PIECE = 1 << 17
+#: Contexts that a task gathers before it passes them on.
+HELD = 20_000
 
 ANCHOR_FIELDS = "h long, h2 long, context long, row long, lo long, n int, off int"
 
@@ -78,10 +81,19 @@ def window_minima(x: np.ndarray, width: int) -> np.ndarray:
     return (np.minimum(left[:n], right[width - 1:width - 1 + n]) & low).astype(np.int64)
 
 
-def cores(data: np.ndarray) -> tuple[np.ndarray, ...] | None:
-    """(prefix sums, core hashes, first starts, last starts, core positions) of a text's contexts."""
-    if len(data) < WIDTH:
-        return None
+def pieces(text: pa.Scalar) -> Iterator[tuple[int, np.ndarray]]:
+    """(first byte, bytes) of a text's pieces, which share no window of 400 bytes and together hold all.
+
+    A context that lies across the end of a piece becomes two of the same core with windows of
+    their own; neither holds the other's windows, so no window meets itself.
+    """
+    data = np.frombuffer(text.as_buffer(), dtype=np.uint8)
+    for at in range(0, len(data) - WIDTH + 1, PIECE):
+        yield at, data[at:at + PIECE + WIDTH - 1]
+
+
+def cores(data: np.ndarray) -> tuple[np.ndarray, ...]:
+    """(prefix sums, core hashes, first starts, last starts, core positions) of a piece's contexts."""
     sums = byte_sums(data)
     n = len(data) - CORE + 1
     h = mix((sums[CORE:] - sums[:n]) * powers(n)[1] + np.uint64(CORE))
@@ -92,12 +104,9 @@ def cores(data: np.ndarray) -> tuple[np.ndarray, ...] | None:
     return sums, as_long(h[p]), lo, hi, p
 
 
-def contexts(data: np.ndarray) -> tuple[np.ndarray, ...] | None:
-    """(h, h2, context hash, first start, starts, core's offset) of a text's contexts."""
-    found = cores(data)
-    if found is None:
-        return None
-    sums, h, lo, hi, p = found
+def contexts(data: np.ndarray) -> tuple[np.ndarray, ...]:
+    """(h, h2, context hash, first start, starts, core's offset) of a piece's contexts."""
+    sums, h, lo, hi, p = cores(data)
     other = byte_sums(data ^ np.uint8(0x5A))
     return (h, as_long(range_hashes(other, p, p + CORE)), as_long(range_hashes(sums, lo, hi + WIDTH)), lo,
             (hi - lo + 1).astype(np.int32), (p - lo).astype(np.int32))
@@ -106,9 +115,8 @@ def contexts(data: np.ndarray) -> tuple[np.ndarray, ...] | None:
 def _core_hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(h, n) of the cores of a batch, equal ones added up."""
     for b in batches:
-        found = [cores(np.frombuffer(t.encode("utf-8", "surrogatepass"), dtype=np.uint8))
-                 for t in b.column("text").to_pylist()]
-        h, n = np.unique(np.concatenate([np.empty(0, np.int64), *(f[1] for f in found if f)]), return_counts=True)
+        found = [cores(data)[1] for t in b.column("text") for _, data in pieces(t)]
+        h, n = np.unique(np.concatenate([np.empty(0, np.int64), *found]), return_counts=True)
         yield pa.RecordBatch.from_arrays([pa.array(h), pa.array(n.astype(np.int64))], names=["h", "n"])
 
 
@@ -120,16 +128,14 @@ def _anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*out, strict=True)], names=names)
 
     for b in batches:
-        for row, text in zip(b.column("_row").to_pylist(), b.column("text").to_pylist(), strict=True):
-            found = contexts(np.frombuffer(text.encode("utf-8", "surrogatepass"), dtype=np.uint8))
-            if found is None:
-                continue
-            h, h2, c, lo, n, off = found
-            out.append((h, h2, c, np.full(len(h), row, np.int64), lo.astype(np.int64), n, off))
-            held += len(h)
-            if held > 100_000:
-                yield batch()
-                out, held = [], 0
+        for row, text in zip(b.column("_row").to_pylist(), b.column("text"), strict=True):
+            for at, data in pieces(text):
+                h, h2, c, lo, n, off = contexts(data)
+                out.append((h, h2, c, np.full(len(h), row, np.int64), lo.astype(np.int64) + at, n, off))
+                held += len(h)
+                if held > HELD:
+                    yield batch()
+                    out, held = [], 0
     if held:
         yield batch()
 
@@ -246,13 +252,15 @@ def _sides(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(text, wanted contexts) to one row per context with the bytes on its core's sides."""
     for b in batches:
         out = []
-        for row, text, wanted in zip(b.column("_row").to_pylist(), b.column("text").to_pylist(),
-                                     b.column("wanted").to_pylist(), strict=True):
-            data = text.encode("utf-8", "surrogatepass")
-            for w in wanted:
+        for row, text, wanted in zip(b.column("_row").to_pylist(), b.column("text"), b.column("wanted"), strict=True):
+            data = text.as_buffer().to_pybytes()
+            for w in wanted.as_py():
                 p = w["lo"] + w["off"]
                 out.append((w["h"], w["h2"], w["copies"], row, w["lo"], data[w["lo"]:p],
                             data[p + CORE:w["lo"] + w["n"] - 1 + WIDTH]))
+                if len(out) > HELD:
+                    yield _side_batch(out)
+                    out = []
         yield _side_batch(out)
 
 
@@ -352,11 +360,25 @@ def _collections(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
+    """(row, found spans) to the rows' maximal spans, all rows of a batch at once.
+
+    Every row's bytes get a range of their own, of 2**40, so that spans of two rows never touch.
+    """
+    kind = pa.struct([("start", pa.int64()), ("end", pa.int64())])
     for b in batches:
-        spans = [[{"start": x, "end": y} for x, y in merge_spans([(s["start"], s["end"]) for s in f])]
-                 for f in b.column("found").to_pylist()]
-        yield pa.RecordBatch.from_arrays([b.column("row"), pa.array(spans, kind)], names=["_row", "_spans"])
+        found = b.column("found")
+        base = np.arange(len(b), dtype=np.int64) << 40
+        shift = np.repeat(base, np.diff(found.offsets.to_numpy()))
+        start, end = (found.flatten().field(i).to_numpy() + shift for i in range(2))
+        order = np.argsort(start, kind="stable")
+        start, end = start[order], np.maximum.accumulate(end[order])
+        first = np.concatenate([np.ones(min(1, len(start)), dtype=bool), start[1:] > end[:-1]])
+        start, end = start[first], end[np.concatenate([first[1:], first[:1]])]
+        cuts = np.searchsorted(start, np.append(base, len(b) << 40)).astype(np.int32)
+        low = (1 << 40) - 1
+        spans = pa.StructArray.from_arrays([pa.array(start & low), pa.array(end & low)], fields=list(kind))
+        yield pa.RecordBatch.from_arrays([b.column("row"), pa.ListArray.from_arrays(pa.array(cuts), spans)],
+                                         names=["_row", "_spans"])
 
 
 def find_spans(rows: DataFrame) -> DataFrame:

@@ -164,6 +164,18 @@ def test_suffix_dedup_matches_brute_force(spark, texts, monkeypatch, largest):
     assert sorted(map(tuple, got), key=key) == sorted(want, key=key)
 
 
+def test_suffix_dedup_of_texts_longer_than_a_piece(spark):
+    """Repeats that lie across the ends of pieces, at other places in other texts."""
+    rng = random.Random(8)
+    n, shared = suffix_dedup.PIECE, _words(rng, 200)
+    long = _words(rng, 40_000)[:n + 9_000]
+    cut_in = long[:n - 350] + shared + long[n - 350:]
+    rows = [(1, cut_in, "a"), (2, _words(rng, 60) + cut_in[n - 700:n + 900] + _words(rng, 60), "a"),
+            (3, _words(rng, 300), "a"), (4, cut_in[n - 50:n + 349], "a"), (5, "é" * 250 + shared, "a"), (6, "é" * 250, "a")]
+    got = suffix_dedup.report(_docs(spark, rows)).orderBy("doc_id").collect()
+    assert [tuple(r)[1:] for r in got] == _windows_removed([t for _, t, _ in rows])
+
+
 def test_suffix_order_of_a_collection():
     rng = random.Random(3)
     strings = [np.array([rng.randint(1, 3) for _ in range(rng.randint(1, 12))]) for _ in range(25)]
