@@ -153,11 +153,19 @@ def node_of(s: np.ndarray) -> int:
     return int(as_long(h)[0]) & ~1 or 2
 
 
-def _sets(texts: list) -> Iterator[np.ndarray]:
-    return shingle_sets([t.encode("utf-8", "surrogatepass") if t else b"" for t in texts], SHINGLE)
+#: Texts encoded, and sets gathered, at a time.
+PART = 512
 
 
-def with_nodes(docs: DataFrame, n_col: str, node_col: str, text: str = "text") -> DataFrame:
+def _sets(texts: list | pa.Array) -> Iterator[np.ndarray]:
+    """The texts' shingle sets in order; only some texts are held encoded."""
+    for i in range(0, len(texts), PART):
+        part = texts[i:i + PART]
+        part = part.to_pylist() if isinstance(part, pa.Array) else part
+        yield from shingle_sets([t.encode("utf-8", "surrogatepass") if t else b"" for t in part], SHINGLE)
+
+
+def with_nodes(docs: DataFrame, n_col: str, node_col: str, text: str = "text", keep_text: bool = True) -> DataFrame:
     """``docs`` with the set's size and node id appended; nothing is shuffled."""
     fields = T.StructType([T.StructField(n_col, T.LongType()), T.StructField(node_col, T.LongType())])
 
@@ -165,7 +173,7 @@ def with_nodes(docs: DataFrame, n_col: str, node_col: str, text: str = "text") -
         got = [(len(s), node_of(s)) for s in _sets(texts)]
         return [[g[0] for g in got], [g[1] for g in got]]
 
-    return append_columns(docs, text, fields, compute)
+    return append_columns(docs, text, fields, compute, keep_text)
 
 
 def _needs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -194,7 +202,7 @@ def _emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     sigs, entries, held = [], [], 0
     for b in batches:
-        for s in _sets(b.column("text").to_pylist()):
+        for s in _sets(b.column("text")):
             node = node_of(s)
             if node == 0 or node in seen:
                 continue
@@ -225,14 +233,17 @@ def _sketch(s: np.ndarray) -> bytes:
 def _describe(what: str):
     """A mapInArrow function: (node, text) to (node, size and sketch) or (node, whole set)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            sets = list(_sets(b.column("text").to_pylist()))
-            if what == "set":
-                cols = [pa.array([as_long(s) for s in sets], type=pa.list_(pa.int64()))]
-            else:
-                cols = [pa.array([len(s) for s in sets], pa.int64()), pa.array([_sketch(s) for s in sets], pa.binary())]
-            yield pa.RecordBatch.from_arrays([b.column("node"), *cols],
-                                             names=["node", "set"] if what == "set" else ["node", "size", "sketch"])
+        for whole in batches:
+            for i in range(0, whole.num_rows, PART):
+                b = whole.slice(i, PART)
+                sets = list(_sets(b.column("text")))
+                if what == "set":
+                    cols = [pa.array([as_long(s) for s in sets], type=pa.list_(pa.int64()))]
+                else:
+                    cols = [pa.array([len(s) for s in sets], pa.int64()),
+                            pa.array([_sketch(s) for s in sets], pa.binary())]
+                yield pa.RecordBatch.from_arrays([b.column("node"), *cols],
+                                                 names=["node", "set"] if what == "set" else ["node", "size", "sketch"])
     return run
 
 
@@ -407,7 +418,7 @@ def node_components(texts: DataFrame, sizes: DataFrame) -> DataFrame:
 def _grouped(docs: DataFrame) -> DataFrame:
     """Written rows doc_id, n_shingles, node, component (null for the empty set)."""
     ids = id_text(docs)
-    rows = materialize(with_nodes(ids, "n_shingles", "node").drop("text"), "nodes")
+    rows = materialize(with_nodes(ids, "n_shingles", "node", keep_text=False), "nodes")
     sizes = rows.where("node != 0").select("node", F.col("n_shingles").alias("size"))
     comp = materialize(node_components(ids.select("text"), sizes), "components")
     component = F.when(F.col("node") != 0, F.coalesce("component", "node"))
@@ -440,7 +451,7 @@ def keep_one(docs: DataFrame) -> DataFrame:
     again = materialize(judged.where(kept).groupBy("doc_id", "node").count().where("count > 1")
                         .select(F.col("doc_id").alias("_id"), F.col("node").alias("_node")), "repeated")
     text = docs.withColumn("_text", F.coalesce(F.col("text").cast("string"), F.lit("")))
-    noded = with_nodes(text, "_n", "_own", "_text").drop("_text", "_n")
+    noded = with_nodes(text, "_n", "_own", "_text", keep_text=False).drop("_n")
     same = (F.col("doc_id").cast("long").eqNullSafe(F.col("_id"))) & (F.col("_own") == F.col("_node"))
     out = join_keys(noded, dropped, same, "left_anti")
     if not again.isEmpty():
