@@ -1,13 +1,16 @@
-"""Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
+"""Benchmark decontamination: n-gram seeds, then Smith-Waterman alignment.
 
-1. The word 3-grams of the test items are counted over all documents (document frequency).
-   An item's seeds are its rarer half, at least ``MIN_SEEDS`` of them; rarity is judged
-   within the item, so an item that leaked into many documents keeps its seeds.
-2. A document whose words hold two different seeds of an item (one, if the item has fewer) is
-   a candidate, at the passage that the item would cover there plus a margin.
+1. Every word 3-gram of a test item is a seed. None is left out for being common or rare: an
+   edited copy may hold any of them.
+2. A document that holds two different seeds of an item (one, if the item has fewer), on
+   diagonals as near to each other as an alignment that reaches the score allows, is a
+   candidate, at every position that such an alignment can reach.
 3. The passage and the item are aligned word by word (match 2, other word or gap -1). The
    score is the best local alignment as a share of the item's own; at ``MIN_SCORE`` the
-   passage is a copy, however edited or paraphrased around the kept words.
+   passage is a copy, however edited or paraphrased around the kept words. Candidates whose
+   passage holds too few of the item's words to reach the score are not aligned.
+
+So a copy that reaches the score is found whenever two of its kept 3-grams differ.
 
 Words are runs between white space and punctuation, lower-cased. Null and empty texts have
 none and match nothing; an item with fewer than three words has its words as one seed.
@@ -21,7 +24,7 @@ every document. Per task the work is one document at a time; no text is shuffled
 
 from __future__ import annotations
 
-from collections import Counter, defaultdict
+from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -34,9 +37,7 @@ from pyspark.sql import types as T
 from indistar.llm.common import append_columns, id_text, materialize
 
 GRAM = 3
-MIN_SEEDS = 8
 NEEDED_SEEDS = 2
-MARGIN = 10
 MIN_SCORE = 0.5
 MATCH, OTHER, GAP = 2, -1, -1
 BLOCK_ITEMS = 5_000
@@ -58,9 +59,11 @@ class Items:
     ids: list[int | None]
     texts: list[np.ndarray]
     grams: np.ndarray  # sorted keys
-    posts: list[list[tuple[int, int]]]  # by gram: (item, position)
-    lengths: list[int]
-    seeds: list[set[int]]  # by item: gram indexes
+    offsets: np.ndarray  # by gram: where its postings begin
+    post_items: np.ndarray
+    post_positions: np.ndarray
+    lengths: np.ndarray
+    needed: np.ndarray  # by item: different seeds that make a candidate
 
     def keys(self, w: np.ndarray) -> np.ndarray:
         """Key of the gram at every position, -1 where a word is unknown."""
@@ -98,30 +101,21 @@ def block_of(rows: list[tuple[int | None, str]]) -> Items:
         if w:
             ids.append(item)
             texts.append(np.array([vocabulary.setdefault(t, len(vocabulary)) for t in w], dtype=np.int64))
-    block = Items(vocabulary, ids, texts, np.empty(0, dtype=np.int64), [], [len(t) for t in texts], [])
+    none = np.empty(0, dtype=np.int64)
+    block = Items(vocabulary, ids, texts, none, none, none, none, np.array([len(t) for t in texts], dtype=np.int64), none)
     if len(vocabulary) >= 1 << 20:
         raise ValueError("a block's vocabulary is too large for its gram keys: use smaller blocks")
-    where: dict[int, list[tuple[int, int]]] = defaultdict(list)
-    for i, t in enumerate(texts):
-        for p, k in enumerate(block.keys(t)):
-            where[int(k)].append((i, p))
-    block.grams = np.array(sorted(where), dtype=np.int64)
-    block.posts = [where[k] for k in block.grams.tolist()]
+    keys = [block.keys(t) for t in texts]
+    every = np.concatenate([none, *keys])
+    order = np.argsort(every, kind="stable")
+    block.grams, first = np.unique(every[order], return_index=True)
+    block.offsets = np.append(first, len(every))
+    block.post_items = np.repeat(np.arange(len(keys)), [len(k) for k in keys])[order]
+    block.post_positions = np.concatenate([none, *(np.arange(len(k)) for k in keys)])[order]
+    block.needed = np.array([min(NEEDED_SEEDS, len(np.unique(k))) for k in keys], dtype=np.int64)
     return block
 
 
-def choose_seeds(block: Items, df: dict[int, int]) -> None:
-    """Each item's rarer half of its grams, ``MIN_SEEDS`` at least; ties by position."""
-    own: list[dict[int, int]] = [{} for _ in block.ids]
-    for g, posts in enumerate(block.posts):
-        for item, p in posts:
-            own[item].setdefault(g, p)
-    block.seeds = []
-    for grams in own:
-        ranked = sorted(grams, key=lambda g: (df.get(g, 0), grams[g]))
-        block.seeds.append(set(ranked[:max(MIN_SEEDS, (len(ranked) + 1) // 2)]))
-
-
 def align(a: np.ndarray, b: np.ndarray) -> tuple[int, int]:
     """Best local alignment score of b against a, and the position after its end in a."""
     ramp = np.arange(len(a) + 1, dtype=np.int64) * -GAP
@@ -142,35 +136,39 @@ def matches(tokens: list[str], block: Items, min_score: float = MIN_SCORE) -> li
     """(item index, score, seeds, first word, word after the last) of every copied item."""
     w = block.ids_of(tokens)
     at, grams = block.found(w)
-    by_item: dict[int, list[tuple[int, int, int]]] = defaultdict(list)
-    for p, g in zip(at.tolist(), grams.tolist(), strict=True):
-        for item, q in block.posts[g]:
-            if g in block.seeds[item]:
-                by_item[item].append((p - q, p, g))
     out = []
-    for item, hits in sorted(by_item.items()):
-        n = block.lengths[item]
-        needed = min(NEEDED_SEEDS, len(block.seeds[item]))
-        if len({g for _, _, g in hits}) < needed:
-            continue
-        best = None
-        hits.sort()
-        start = 0
-        for k in range(1, len(hits) + 1):  # runs of neighbouring diagonals
-            if k < len(hits) and hits[k][0] - hits[k - 1][0] <= MARGIN:
+    if len(at):
+        # one hit per gram of the document and posting, by item and diagonal
+        size = block.offsets[grams + 1] - block.offsets[grams]
+        post = np.arange(size.sum()) + np.repeat(block.offsets[grams] - np.cumsum(size) + size, size)
+        items, seeds = block.post_items[post], np.repeat(grams, size)
+        diagonals = np.repeat(at, size) - block.post_positions[post]
+        order = np.lexsort((diagonals, items))
+        items, seeds, diagonals = items[order], seeds[order], diagonals[order]
+        # gaps an alignment of this score can have: 2 a match of at most n, less 1 a gap
+        reach = np.floor((1 - min_score) * MATCH * block.lengths / -GAP + 1e-9).astype(np.int64)
+        new_item = items[1:] != items[:-1]
+        cuts = np.flatnonzero(new_item | (diagonals[1:] - diagonals[:-1] > reach[items[1:]])) + 1
+        starts, ends = np.append(0, cuts), np.append(cuts, len(items))
+        enough = np.flatnonzero(ends - starts >= block.needed[items[starts]])
+        best: dict[int, tuple[int, int, int]] = {}
+        for a, b in zip(starts[enough].tolist(), ends[enough].tolist(), strict=True):  # runs of neighbouring diagonals
+            item = int(items[a])
+            if len(np.unique(seeds[a:b])) < block.needed[item]:
                 continue
-            run, start = hits[start:k], k
-            if len({g for _, _, g in run}) < needed:
+            n, text, far = int(block.lengths[item]), block.texts[item], int(reach[item])
+            lo, hi = max(0, int(diagonals[a]) - far), min(len(w), int(diagonals[b - 1]) + n + far)
+            if np.isin(text, w[lo:hi]).sum() < min_score * n:
                 continue
-            lo, hi = max(0, run[0][0] - MARGIN), min(len(w), run[-1][0] + n + MARGIN)
-            score, end = align(w[lo:hi], block.texts[item])
-            if best is None or score > best[0]:
-                _, back = align(w[lo:lo + end][::-1], block.texts[item][::-1])
-                best = (score, lo + end - back, lo + end)
-        if best and best[0] >= min_score * MATCH * n:
-            out.append((item, best[0] / (MATCH * n), len({g for _, _, g in hits}), best[1], best[2]))
+            score, end = align(w[lo:hi], text)
+            if score >= min_score * MATCH * n and (item not in best or score > best[item][0]):
+                _, back = align(w[lo:lo + end][::-1], text[::-1])
+                best[item] = (score, lo + end - back, lo + end)
+        for item, (score, first, end) in sorted(best.items()):
+            a, b = np.searchsorted(items, [item, item + 1])
+            out.append((item, score / (MATCH * int(block.lengths[item])), len(np.unique(seeds[a:b])), first, end))
     # items of fewer words than a gram: the words themselves in a row
-    for item, n in enumerate(block.lengths):
+    for item, n in enumerate(block.lengths.tolist()):
         if n < GRAM and len(w) >= n:
             same = np.ones(len(w) - n + 1, dtype=bool)
             for j in range(n):
@@ -181,29 +179,15 @@ def matches(tokens: list[str], block: Items, min_score: float = MIN_SCORE) -> li
     return out
 
 
-def blocks(docs: DataFrame, benchmark: DataFrame, block_items: int = BLOCK_ITEMS) -> Iterator:
-    """Broadcast variables of :class:`Items`, block by block, seeds chosen over all of ``docs``."""
-    spark = docs.sparkSession
+def blocks(benchmark: DataFrame, block_items: int = BLOCK_ITEMS) -> Iterator:
+    """Broadcast variables of :class:`Items`, block by block."""
+    spark = benchmark.sparkSession
     items = materialize(id_text(benchmark, "item_id").where("trim(text) != ''"), "items")
     number = -(-items.count() // max(1, block_items // 2))  # half full on average, so that none overflows
-    texts = id_text(docs).select("text")
     for k in range(number):
         rows = items.where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(number)) == k) \
             .orderBy("doc_id", "text").collect()  # bounded by the block's size
-        block = block_of([(r["doc_id"], r["text"]) for r in rows])
-        shared = spark.sparkContext.broadcast(block)
-
-        def count(batches, shared=shared):
-            for b in batches:
-                c: Counter = Counter()
-                for t in b.column("text").to_pylist():
-                    c.update(set(shared.value.found(shared.value.ids_of(words(t)))[1].tolist()))
-                yield pa.RecordBatch.from_arrays([pa.array(list(c), pa.int64()), pa.array(list(c.values()), pa.int64())],
-                                                 names=["gram", "n"])
-
-        df = texts.mapInArrow(count, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
-        choose_seeds(block, {r["gram"]: r["n"] for r in df.collect()})  # at most the block's grams
-        yield spark.sparkContext.broadcast(block)
+        yield spark.sparkContext.broadcast(block_of([(r["doc_id"], r["text"]) for r in rows]))
 
 
 def find(docs: DataFrame, benchmark: DataFrame, min_score: float = MIN_SCORE) -> DataFrame:
@@ -211,7 +195,7 @@ def find(docs: DataFrame, benchmark: DataFrame, min_score: float = MIN_SCORE) ->
     schema = "doc_id long, item_id long, score double, n_seeds int, first_word int, end_word int"
     parts = []
     ids = id_text(docs)
-    for shared in blocks(docs, benchmark):
+    for shared in blocks(benchmark):
         def run(batches, shared=shared):
             for b in batches:
                 rows = []
@@ -233,7 +217,7 @@ def find(docs: DataFrame, benchmark: DataFrame, min_score: float = MIN_SCORE) ->
 def clean(docs: DataFrame, benchmark: DataFrame, min_score: float = MIN_SCORE) -> DataFrame:
     """The documents that hold no copied item, with all their columns (none may start with ``_``)."""
     out = docs
-    for shared in blocks(docs, benchmark):
+    for shared in blocks(benchmark):
         def compute(texts, shared=shared):
             return [[bool(t) and bool(matches(words(t), shared.value, min_score)) for t in texts]]
         field = T.StructType([T.StructField("_copied", T.BooleanType())])

@@ -279,6 +279,51 @@ def test_alignment_against_a_plain_table():
         assert decontamination.align(a, b)[0] == h.max()
 
 
+def _align_score(a, b):
+    h = [[0] * (len(a) + 1) for _ in range(len(b) + 1)]
+    for i, y in enumerate(b, 1):
+        for j, x in enumerate(a, 1):
+            h[i][j] = max(0, h[i - 1][j - 1] + (2 if x == y else -1), h[i - 1][j] - 1, h[i][j - 1] - 1)
+    return max(map(max, h))
+
+
+def test_decontamination_matches_alignment_of_all_pairs(spark):
+    """Copies with 10 to 30% of their words edited, with and without an exact copy beside them."""
+    rng = random.Random(11)
+    stock = _words(rng, 400).split()
+    items = [[rng.choice(stock) for _ in range(40 + i)] for i in range(12)]
+    docs = [(500 + i, " ".join(t)) for i, t in enumerate(items[:6])]
+    for k, share in enumerate((0.1, 0.15, 0.2, 0.25, 0.3)):
+        for i, t in enumerate(items):
+            edited = list(t)
+            if i % 3 == 2:  # spread at random, else at even spacing
+                at = rng.sample(range(len(t)), int(share * len(t)))
+            else:
+                at = [int((j + 0.5) / share) for j in range(int(share * len(t)))]
+            for j in at:
+                edited[j] = "edited%d" % j if i % 2 else "two more edited%d" % j
+            around = [rng.choice(stock) for _ in range(20)]
+            docs.append((100 * k + i, " ".join(around[:10] + edited + around[10:])))
+    split = list(items[0])
+    split[20:20] = ["put"] * 14  # one insertion longer than a few words
+    docs.append((900, " ".join(split)))
+    want = {}
+    for d, text in docs:
+        w = decontamination.words(text)
+        grams = {tuple(w[j:j + 3]) for j in range(len(w) - 2)}
+        for i, t in enumerate(items):
+            score = _align_score(w, t)
+            shared = len({tuple(t[j:j + 3]) for j in range(len(t) - 2)} & grams)
+            if score >= decontamination.MIN_SCORE * 2 * len(t) and shared >= 2:
+                want[d, i] = (round(score / (2 * len(t)), 9), shared)
+    assert len(want) >= 50
+    table = spark.createDataFrame(docs, "doc_id long, text string")
+    bench = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(items)], "item_id long, text string")
+    got = decontamination.find(table, bench).collect()
+    assert {(r.doc_id, r.item_id): (round(r.score, 9), r.n_seeds) for r in got} == want
+    assert {r.doc_id for r in decontamination.clean(table, bench).collect()} == {d for d, _ in docs} - {d for d, _ in want}
+
+
 def test_mixing_meets_targets_natively(spark, texts):
     rng = random.Random(1)
     rows = [(i, _words(rng, 80) + (" idiot scum" if i % 5 == 0 else "") + (" ###$$$" * 30 if i % 4 == 1 else ""), "s") for i in range(400)]
