@@ -23,6 +23,7 @@ Driver values: word lists of ``LEXICON_WORDS`` per domain, class moments, residu
 from __future__ import annotations
 
 import math
+import warnings
 
 import numpy as np
 from pyspark.sql import Column, DataFrame
@@ -31,12 +32,11 @@ from pyspark.sql import functions as F
 from indistar.llm.common import materialize
 
 DOMAINS = ("high", "low", "toxic")
-#: Default target weights: each domain's measured token share times this, scaled to sum to 1. Targets
-#: that follow the corpus are always within reach and repeat no domain many times over.
-TILT = {"high": 1.0, "low": 0.75, "toxic": 0.4}
+#: Target token shares of the mix, as parts of the tokens that go in.
+TARGETS = {"high": 0.80, "low": 0.12, "toxic": 0.08}
 LEXICON_ROWS = 20_000
 LEXICON_WORDS = 24
-ITERATIONS, TOLERANCE, SAFE_STEPS = 30, 1e-4, 6
+ITERATIONS, TOLERANCE, SAFE_STEPS = 60, 1e-4, 6
 MIN_VARIANCE = 1e-2
 SYMBOLS = "#*$%&|<>"
 
@@ -142,8 +142,11 @@ def rate_of(p: list[Column], steps: list[list[float]]) -> Column:
 
 
 def fit_rates(table: DataFrame, targets: dict[str, float], iterations: int = ITERATIONS,
-              tolerance: float = TOLERANCE) -> list[list[float]]:
-    """The scaled residuals of every iteration, for :func:`rate_of`.
+              tolerance: float = TOLERANCE) -> tuple[list[list[float]], list[float]]:
+    """The scaled residuals of every iteration, for :func:`rate_of`, and what is left per domain.
+
+    What is left is the mix's token share less its target under the returned rates; where it
+    exceeds ``tolerance`` the iterations did not suffice or no rates reach the targets.
 
     ``table`` holds ``_tokens`` and ``_p0 .. _pK-1``. The objective is quadratic with at most
     K nonzero eigenvalues, those of the token-weighted second moments of the posteriors, so
@@ -157,7 +160,7 @@ def fit_rates(table: DataFrame, targets: dict[str, float], iterations: int = ITE
     pairs = [(i, j) for i in range(k) for j in range(i, k)]
     total, *moments = table.agg(F.sum(w), *(F.sum(w * p[i] * p[j]) for i, j in pairs)).first()
     if not total:
-        return []
+        return [], []
     gram = np.zeros((k, k))
     for (i, j), m in zip(pairs, moments, strict=True):
         gram[i, j] = gram[j, i] = m / total
@@ -167,12 +170,12 @@ def fit_rates(table: DataFrame, targets: dict[str, float], iterations: int = ITE
     goal = [targets[d] for d in DOMAINS]
     steps: list[list[float]] = []
     before, safe, turn = float("inf"), 0, 0
-    for _ in range(iterations):
+    while True:
         sums = table.select(w.alias("w"), *[x.alias(f"p{i}") for i, x in enumerate(p)], rate_of(p, steps).alias("r")) \
             .agg(*(F.sum(F.col("w") * F.col("r") * F.col(f"p{i}")) for i in range(k))).first()
         residual = [s / total - t for s, t in zip(sums, goal, strict=True)]
-        if max(map(abs, residual)) <= tolerance:
-            break
+        if max(map(abs, residual)) <= tolerance or len(steps) == iterations:
+            return steps, residual
         norm = sum(x * x for x in residual)
         if norm >= before and not safe:
             safe = SAFE_STEPS
@@ -182,23 +185,17 @@ def fit_rates(table: DataFrame, targets: dict[str, float], iterations: int = ITE
         else:
             eta, turn = cycle[turn % len(cycle)], turn + 1
         steps.append([eta * x for x in residual])
-    return steps
-
-
-def tilted(table: DataFrame, tilt: dict[str, float] | None = None) -> dict[str, float]:
-    """Target shares: the measured shares times ``tilt``, scaled to sum to 1."""
-    tilt = tilt or TILT
-    w = F.col("_tokens").cast("double")
-    sums = table.agg(*(F.sum(w * F.col(f"_p{i}")) for i in range(len(DOMAINS)))).first()
-    raw = [(s or 0.0) * tilt[d] for s, d in zip(sums, DOMAINS, strict=True)]
-    return {d: x / (sum(raw) or 1.0) for d, x in zip(DOMAINS, raw, strict=True)}
 
 
 class Mixer:
     """Classifier and rates fitted to one corpus; gives columns for any rows of that corpus."""
 
     def __init__(self, docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None = None):
-        """``targets``: wanted share of the input's tokens per domain; None: :func:`tilted`."""
+        """``targets``: wanted share of the input's tokens per domain; None: ``TARGETS``.
+
+        ``residual`` holds what the rates leave of each target; a warning tells where that is
+        more than ``TOLERANCE``.
+        """
         known = materialize(labelled(labels), "known")
         self.lexicons = learn_lexicons(docs, known)
         ids = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
@@ -208,8 +205,12 @@ class Mixer:
         p = posteriors(self.classes, self.names)
         self.table = materialize(measured.select("doc_id", "_tokens", *(x.alias(f"_p{i}") for i, x in enumerate(p))),
                                  "posteriors")
-        self.targets = targets or tilted(self.table)
-        self.steps = fit_rates(self.table, self.targets)
+        self.targets = targets or TARGETS
+        self.steps, left = fit_rates(self.table, self.targets)
+        self.residual = dict(zip(DOMAINS, left, strict=False))  # empty without tokens
+        if any(abs(x) > TOLERANCE for x in left):
+            warnings.warn(f"mixing targets {self.targets} not reached in {len(self.steps)} iterations: "
+                          f"share less target {self.residual}", stacklevel=2)
 
     def rates(self) -> DataFrame:
         """doc_id, n_tokens, the posteriors and the rate of every document."""

@@ -344,6 +344,23 @@ def test_mixing_meets_targets_natively(spark, texts):
     assert bare.rates().count() == 0
 
 
+def test_mixing_has_fixed_targets_and_tells_when_they_are_missed(spark, recwarn):
+    rng = random.Random(3)
+    rows = [(i, _words(rng, 60) + (" idiot scum" * 3 if i % 3 == 0 else "") + (" ###$$$" * 30 if i % 3 == 1 else ""), "s")
+            for i in range(300)]
+    labels = spark.createDataFrame([(i, int(i % 3 != 1), int(i % 3 == 0)) for i in range(300)], "doc_id long, quality int, toxic int")
+    mixer = mixing.Mixer(_docs(spark, rows), labels)  # a third of each domain goes in
+    assert mixer.targets == {"high": 0.80, "low": 0.12, "toxic": 0.08} and mixing.ITERATIONS == 60
+    assert not [w for w in recwarn if "mixing targets" in str(w.message)]
+    r = mixer.rates().toPandas()
+    for d, share in mixer.targets.items():
+        left = (r.n_tokens * r.rate * r[f"p_{d}"]).sum() / r.n_tokens.sum() - share
+        assert abs(left) <= mixing.TOLERANCE and abs(left - mixer.residual[d]) < 1e-9
+    with pytest.warns(UserWarning, match="mixing targets"):  # without labels all domains are alike
+        missed = mixing.Mixer(_docs(spark, rows), labels.limit(0))
+    assert max(map(abs, missed.residual.values())) > mixing.TOLERANCE
+
+
 def test_sharding(spark, texts):
     table = sharding.lookup_table(sharding.shard_names(7), 211)
     counts = np.bincount(table)
