@@ -5,8 +5,8 @@ depends on the last 32 bytes only. Where its top ``CUT_BITS`` bits are zero a ch
 below ``MIN_CHUNK`` bytes; at ``MAX_CHUNK`` it ends anyway), so an insertion moves the cuts
 near it and no others. Chunks are compared by a 128-bit digest. Of the occurrences of one chunk
 the first is kept (smallest document id, then row, then position), and later ones are removed
-when the run of repeated chunks around them has ``MIN_RUN`` bytes: short chance repeats of
-common words stay. The rest of the document is kept.
+when the run of repeated chunks around them has ``MIN_RUN`` bytes or is the whole document, however
+short: chance repeats of a few common words inside a text stay. The rest of the document is kept.
 
 Null and empty texts have no chunks. Repeated rows and rows with equal or null ids are documents of
 their own (null ids come last). An empty table gives an empty result; extra columns are
@@ -46,7 +46,7 @@ from indistar.llm.common import (
 
 CUT_BITS = 5
 MIN_CHUNK, MAX_CHUNK = 16, 256
-MIN_RUN = 96
+MIN_RUN = 32
 
 _GEAR = (mix(np.arange(1000, 1256, dtype=U64)) >> U64(32)).astype(np.uint32)
 
@@ -83,8 +83,8 @@ def chunk_ends(data: np.ndarray) -> np.ndarray:
 
 
 def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(d1, d2, row, start, length) of every chunk."""
-    names = ["d1", "d2", "row", "start", "length"]
+    """(d1, d2, row, start, length, last) of every chunk; ``last`` ends its text."""
+    names = ["d1", "d2", "row", "start", "length", "last"]
     out: list[tuple] = []
     held = 0
 
@@ -102,7 +102,7 @@ def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             d1 = range_hashes(byte_sums(data), starts, ends)
             d2 = range_hashes(byte_sums(data ^ np.uint8(0x5A)), starts, ends)
             out.append((as_long(d1), as_long(d2), np.full(len(ends), row, np.int64), starts.astype(np.int32),
-                        (ends - starts).astype(np.int32)))
+                        (ends - starts).astype(np.int32), ends == len(data)))
             held += len(ends)
             if held > 100_000:
                 yield batch()
@@ -130,16 +130,17 @@ def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         rows, spans, repeated = [], [], []
         for row, found in zip(b.column("row").to_pylist(), b.column("found").to_pylist(), strict=True):
-            found = sorted((f["start"], f["length"], f["first"]) for f in found)
-            total, later, run = 0, [], []
-            for start, length, first in [*found, (-1, 0, True)]:
+            found = sorted((f["start"], f["length"], f["first"], f["last"]) for f in found)
+            total, later, run, ended = 0, [], [], False
+            for start, length, first, last in [*found, (-1, 0, True, False)]:
                 if run and run[-1][1] != start:
                     size = run[-1][1] - run[0][0]
-                    if size >= MIN_RUN:
+                    if size >= MIN_RUN or run[0][0] == 0 and ended:  # long enough, or the whole document
                         total += size
                         later += [(x, y) for x, y, f in run if not f]
                     run = []
                 run.append((start, start + length, first))
+                ended = last
             if total:
                 rows.append(row)
                 repeated.append(total)
@@ -151,7 +152,7 @@ def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def find_spans(rows: DataFrame) -> DataFrame:
     """Written rows (_row, doc_id, text) to (row, spans, repeated) of documents with repeats."""
-    chunks = rows.select("_row", "text").mapInArrow(_chunks, "d1 long, d2 long, row long, start int, length int")
+    chunks = rows.select("_row", "text").mapInArrow(_chunks, "d1 long, d2 long, row long, start int, length int, last boolean")
     # written, so that the join below stands on plain exchanges and a hot digest is split
     again = materialize(rows.select("text").mapInArrow(_digests, "d1 long, n long").groupBy("d1")
                         .agg(F.sum("n").alias("n")).where("n > 1").select("d1"), "repeated-digests")
@@ -163,7 +164,7 @@ def find_spans(rows: DataFrame) -> DataFrame:
     first = materialize(first, "first-chunks")
     found = (shared.join(first, ["d1", "d2"])
              .select("row", F.struct("start", "length", ((F.col("row") == F.col("first.row"))
-                                     & (F.col("start") == F.col("first.start"))).alias("first")).alias("f")))
+                                     & (F.col("start") == F.col("first.start"))).alias("first"), "last").alias("f")))
     # one value per document, at most its own chunks
     return materialize(found.groupBy("row").agg(F.collect_list("f").alias("found"))
                        .mapInArrow(_runs, "row long, spans array<struct<start:long,end:long>>, repeated long"), "spans")

@@ -219,6 +219,35 @@ def test_chunk_dedup_keeps_the_first_copy(spark, texts):
     assert kept[0] == texts[0][1] and kept[10] == ""
 
 
+def test_chunk_dedup_removes_short_copies_and_shared_passages(spark):
+    rng = random.Random(21)
+    short = [_words(rng, 1 + i % 15)[:90] for i in range(40)] + ["x", "é"]
+    rows = [(i, t, "a") for i, t in enumerate(short)] + [(100 + i, t, "b") for i, t in enumerate(short)]
+    passages = [_words(rng, 51) for _ in range(300)]
+    rows += [(1000 + i, _words(rng, 30) + " " + p + " " + _words(rng, 30), "c") for i, p in enumerate(passages)]
+    rows += [(2000 + i, _words(rng, 30) + " " + p + " " + _words(rng, 30), "d") for i, p in enumerate(passages)]
+    got = {r.doc_id: r for r in chunk_dedup.report(_docs(spark, rows)).collect()}
+    for i in range(len(short)):
+        assert got[100 + i].n_removed == got[100 + i].n_bytes > 0 == got[i].n_removed and got[i].n_repeated == got[i].n_bytes
+    assert all(got[1000 + i].n_removed == 0 for i in range(len(passages)))
+    text = {i: x.encode() for i, x, _ in rows}
+
+    def chunks(data):
+        ends = [0, *chunk_dedup.chunk_ends(np.frombuffer(data, np.uint8)).tolist()]
+        return [data[x:y] for x, y in zip(ends[:-1], ends[1:], strict=True)]
+
+    for i in range(len(passages)):  # runs of chunks that the first copy has too, of 32 bytes or more
+        seen, run, want = set(chunks(text[1000 + i])), 0, 0
+        for c in [*chunks(text[2000 + i]), None]:
+            if c in seen:
+                run += len(c)
+                continue
+            want, run = want + (run if run >= 32 else 0), 0
+        assert got[2000 + i].n_removed == want
+    kept = {r.doc_id: r.text for r in chunk_dedup.remove(_docs(spark, rows)).collect()}
+    assert all(kept[i] == t and kept[100 + i] == "" for i, t in enumerate(short))
+
+
 def test_quality_rules(spark, texts):
     docs = _docs(spark, texts).withColumn("kept", F.lit("clash")).withColumn("host", F.lit("clash"))
     got = quality_rules.judge(docs).collect()
