@@ -54,7 +54,7 @@ STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] =
     ("sharding", shard),
 ]
 
-#: Alignment scores and fitted rates are not SQL; tests hold the run against a brute-force one.
+#: Alignment scores and fitted rates are not SQL. No test compares a whole run with brute force; the operators have their own.
 ORACLE_SQL: str | None = None
 
 
