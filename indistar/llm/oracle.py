@@ -14,8 +14,8 @@ SELECT conv_id, count(*) AS n_turns,
        coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
        sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
        sum(shown)::BIGINT AS formatted_chars
-FROM turns_sized GROUP BY conv_id
-""".replace("turns_sized", "sized")
+FROM sized GROUP BY conv_id
+"""
 
 SHARDS = """
 WITH RECURSIVE shards AS (
@@ -87,5 +87,59 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM failed LEFT JOIN verdict USING (source)
 """
 
+#: Trees of 16 by source, a tree over the subroots, and every row's way up, one level a step.
+MERKLE = r"""
+WITH RECURSIVE fields AS (
+  SELECT row_number() OVER () AS r, doc_id, coalesce('=' || source, '-') AS tree,
+    coalesce(strlen(doc_id::VARCHAR) || ':' || doc_id, '-') || coalesce(strlen(source) || ':' || source, '-')
+      || coalesce(strlen(lang) || ':' || lang, '-') || coalesce(strlen(n_chars::VARCHAR) || ':' || n_chars, '-') AS head,
+    text, translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS low FROM documents),
+hashed AS (
+  SELECT r, doc_id, tree, sha256(head || coalesce(strlen(text) || ':' || text, '-')) AS leaf,
+    sha256(head || coalesce(strlen(low) || ':' || low, '-')) AS low_leaf FROM fields),
+-- crc32 of the decimal id, bit by bit
+codes(r, left_over, crc) AS (
+  SELECT r, doc_id::VARCHAR, 4294967295::UBIGINT FROM fields WHERE doc_id IS NOT NULL
+  UNION ALL
+  SELECT r, left_over[2:], list_reduce(list_prepend(xor(crc, ord(left_over[1])::UBIGINT), range(8)::UBIGINT[]),
+           lambda c, i: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384::UBIGINT) ELSE c // 2 END)
+  FROM codes WHERE left_over <> ''),
+chosen AS (SELECT r FROM codes WHERE left_over = '' AND xor(crc, 4294967295::UBIGINT) % 5 = 0),
+leaves AS MATERIALIZED (
+  SELECT h.*, CASE WHEN chosen.r IS NULL THEN leaf ELSE low_leaf END AS shown,
+    row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i, count(*) OVER (PARTITION BY tree) AS n
+  FROM hashed h LEFT JOIN chosen USING (r)),
+inner_levels AS (
+  SELECT tree, 0 AS level, i, leaf AS digest, n FROM leaves
+  UNION ALL
+  SELECT tree, any_value(level) + 1, i // 16, sha256(string_agg(digest, '' ORDER BY i)), (any_value(n) + 15) // 16
+  FROM inner_levels WHERE n > 1 GROUP BY tree, i // 16),
+subroots AS MATERIALIZED (
+  SELECT tree, digest, row_number() OVER (ORDER BY encode(tree)) - 1 AS i, count(*) OVER () AS n FROM inner_levels WHERE n = 1),
+top_levels AS (
+  SELECT '' AS tree, 0 AS level, i, digest, n FROM subroots
+  UNION ALL
+  SELECT tree, any_value(level) + 1, i // 16, sha256(string_agg(digest, '' ORDER BY i)), (any_value(n) + 15) // 16
+  FROM top_levels WHERE n > 1 GROUP BY tree, i // 16),
+runs AS MATERIALIZED (
+  SELECT tree, level, i // 16 AS up, list(digest ORDER BY i) AS kids, any_value(n) AS n
+  FROM (SELECT * FROM inner_levels UNION ALL SELECT * FROM top_levels) WHERE n > 1 GROUP BY tree, level, i // 16),
+ways AS (
+  SELECT r, tree, 0 AS level, i, n, shown AS h, '' AS proof FROM leaves
+  UNION ALL
+  SELECT w.r, w.tree, CASE WHEN w.n > 1 THEN w.level + 1 ELSE 0 END, CASE WHEN w.n > 1 THEN w.i // 16 ELSE s.i END,
+    CASE WHEN w.n > 1 THEN (w.n + 15) // 16 ELSE s.n END,
+    CASE WHEN w.n > 1 THEN sha256(array_to_string(list_concat(kids[1:w.i % 16], [w.h], kids[w.i % 16 + 2:]), '')) ELSE w.h END,
+    CASE WHEN w.n > 1 THEN w.proof || array_to_string(list_concat(kids[1:w.i % 16], kids[w.i % 16 + 2:]), '') ELSE w.proof END
+  FROM (SELECT r, CASE WHEN n = 1 THEN '' ELSE tree END AS tree, tree AS own, level, i, n, h, proof FROM ways
+        WHERE n > 1 OR tree <> '') w
+  LEFT JOIN runs ON runs.tree = w.tree AND runs.level = w.level AND runs.up = w.i // 16 AND w.n > 1
+  LEFT JOIN subroots s ON s.tree = w.own AND w.n = 1)
+SELECT doc_id, leaf, subroots.digest AS subroot, root, sha256(proof) AS proof_sha256, h AS folded_root, h = root AS verified
+FROM leaves JOIN ways ON ways.r = leaves.r AND ways.tree = '' AND ways.n = 1 JOIN subroots ON subroots.tree = leaves.tree,
+  (SELECT digest AS root FROM top_levels WHERE n = 1)
+"""
+
 ORACLE_SQL: dict[str, str] = {"op3_sharding": SHARDS, "op4_chat_format": CHAT,
-                              "op8_jaccard_join": JACCARD, "op9_host_quality": QUALITY}
+                              "op8_jaccard_join": JACCARD, "op9_host_quality": QUALITY,
+                              "op13_merkle_manifest": MERKLE}

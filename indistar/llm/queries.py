@@ -13,6 +13,7 @@ from indistar.llm import (
     decontamination,
     html_extract,
     jaccard_join,
+    merkle,
     mixing,
     quality_rules,
     sharding,
@@ -72,8 +73,13 @@ def op10_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extract.extract(table(spark, sf_dir, "pages"))
 
 
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.audit(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_chunk_dedup, op2_mixing, op3_sharding, op4_chat_format,
                             op5_suffix_dedup, op6_toxicity, op7_decontamination,
-                            op8_jaccard_join, op9_host_quality, op10_html_extract)
+                            op8_jaccard_join, op9_host_quality, op10_html_extract,
+                            op13_merkle_manifest)
 }
