@@ -15,6 +15,7 @@ from indistar.llm import (
     jaccard_join,
     merkle,
     mixing,
+    packing,
     quality_rules,
     sharding,
     suffix_dedup,
@@ -73,6 +74,17 @@ def op10_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extract.extract(table(spark, sf_dir, "pages"))
 
 
+def vocabulary(name: str) -> str:
+    """The place of a public vocabulary file."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op11_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.digests(packing.pack(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"), end_id=2))
+
+
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.audit(table(spark, sf_dir, "documents"))
 
@@ -81,5 +93,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_chunk_dedup, op2_mixing, op3_sharding, op4_chat_format,
                             op5_suffix_dedup, op6_toxicity, op7_decontamination,
                             op8_jaccard_join, op9_host_quality, op10_html_extract,
-                            op13_merkle_manifest)
+                            op11_packing, op13_merkle_manifest)
 }
