@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from indistar.llm import (
+    alignment,
     chat_format,
     chunk_dedup,
     decontamination,
@@ -85,6 +86,11 @@ def op11_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.digests(packing.pack(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"), end_id=2))
 
 
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.report(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"),
+                            vocabulary("piece_bpe_32k.model"))
+
+
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.audit(table(spark, sf_dir, "documents"))
 
@@ -93,5 +99,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_chunk_dedup, op2_mixing, op3_sharding, op4_chat_format,
                             op5_suffix_dedup, op6_toxicity, op7_decontamination,
                             op8_jaccard_join, op9_host_quality, op10_html_extract,
-                            op11_packing, op13_merkle_manifest)
+                            op11_packing, op12_token_alignment, op13_merkle_manifest)
 }
