@@ -23,6 +23,7 @@ from indistar.session import work_dir
 from indistar.sources import publish
 from indistar.sources.contract import RAW_COLUMNS, JobParams
 from indistar.sources.csv import read_raw_csv, write_raw_csv
+from indistar.sources.csv_split import read_raw_csv_split
 from indistar.sources.landing import land_raw
 from indistar.sources.star import raw_from_star
 
@@ -184,6 +185,18 @@ def scan_csv_roundtrip(spark, sf_dir):
     return back.select([blank_to_null(c).alias(c) for c in RAW_COLUMNS])
 
 
+def scan_csv_split(spark, sf_dir):
+    """N01 in byte ranges: footnotes and questions that hold newlines and quotes, read by many tasks."""
+    path = work_dir(spark, "csv_split")
+    raw = raw_from_star(spark, sf_dir)
+    note = F.col("DataValueFootnote")
+    write_raw_csv(raw.withColumns({
+        "DataValueFootnote": F.when(note != "", F.concat(note, F.lit('\nsee "notes",\n\n'), "Topic")).otherwise(note),
+        "Question": F.concat(F.lit('"'), "Question", F.lit('"\n'))}), path)
+    back = read_raw_csv_split(spark, path)
+    return back.select([blank_to_null(c).alias(c) for c in RAW_COLUMNS])
+
+
 def _landing_summary(df: DataFrame, step: str, landed_now: bool) -> DataFrame:
     return df.agg(F.lit(step).alias("step"), F.lit(landed_now).alias("landed_now"),
                   F.count(F.lit(1)).alias("n_rows"),
@@ -391,6 +404,7 @@ def queries() -> dict[str, Query]:
         "indicator_name": indicator_name,
         "surrogate_keys": surrogate_keys,
         "scan_csv_roundtrip": scan_csv_roundtrip,
+        "scan_csv_split": scan_csv_split,
         "land_raw_idempotent": land_raw_idempotent,
         "upsert_fact_base": upsert_fact_base,
         "upsert_fact_strat": upsert_fact_strat,
