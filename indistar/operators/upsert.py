@@ -1,67 +1,132 @@
-"""N07/N08/J05 incremental table maintained by keyed upsert.
-
-New version = (current rows whose key is not in the batch) + (all batch rows).
-Rows of one key are replaced as a group and in-batch duplicates are kept, the
-delete-then-insert semantics of an incremental model with a unique key.
-Applying the same batch again gives the same table (idempotent), so a retried
-run or a replayed micro-batch is harmless.
-
-Storage is plain Parquet in versioned folders (:mod:`indistar.sources.versions`): the new
-version is written beside the old; a failed write never becomes current, and versions
-beyond the newest ``KEPT_VERSIONS`` go once the new one is committed.
-
-Scale: the batch is written once, beside the versions, and its key column is
-anti-joined with the current rows. A small batch is broadcast by the planner from its file
-size, so the table is not shuffled; a large one gives a sort-merge anti join on two plain
-exchanges, in which AQE splits a key that holds a third of the table (an aggregate between
-exchange and sort, such as a distinct of the keys, would prevent that).
+"""N07/N08/J05 incremental table maintained by keyed upsert, bucket by bucket.
+
+New state = (current rows whose key is not in the batch) + (all batch rows). Rows of one key are
+replaced as a group and in-batch duplicates are kept, the delete-then-insert semantics of
+an incremental model with a unique key. Applying the same batch again gives the same
+rows, so a retried run or a replayed micro-batch is harmless.
+
+Storage: every row belongs to a bucket, by a digest of its key and, if given, of ``cluster``
+columns that the key determines (rows of one key have equal values there; for the facts,
+the year, which is part of the key). A manifest (:mod:`indistar.sources.manifest`) lists each bucket's
+folders. An upsert writes the batch once, straight into the table's layout, and rewrites the surviving rows
+of the buckets that the batch touches; all others are carried over by reference. With ``cluster``, a batch
+that restates one year rewrites that year's buckets only. The commit is one small file: a failed write never becomes
+current, its folder is removed, and what a killed writer leaves goes with the next upsert.
+
+Scale: only touched buckets are read. The batch's keys are anti-joined with them: a small batch
+is broadcast by the planner from its file size, a large one gives a sort-merge anti join on two
+plain exchanges, in which AQE splits a key that holds a third of the table (an aggregate between
+exchange and sort, such as a distinct of the keys, would prevent that). Writes go through a
+rebalancing by bucket, so a bucket gets few files and a hot one is split over tasks.
 """
 
 from __future__ import annotations
 
+import json
 import uuid
+from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from indistar.sources import fs, versions
-from indistar.sources.versions import current_path
+from indistar.sources import fs, manifest
 
 KEPT_VERSIONS = 3
+#: Digest slots of the cluster columns, and of the key within each. Buckets: their product.
+CLUSTERS, PER_CLUSTER = 32, 8
+BUCKET = "_bucket"
+DATA = "data"
+
+
+def slot(cols: Sequence[str], n: int) -> Column:
+    """0 to n - 1 by a digest of the columns' text."""
+    text = F.concat_ws("-", *(F.coalesce(F.col(c).cast("string"), F.lit("")) for c in cols))
+    return F.conv(F.substring(F.md5(text.cast("binary")), 1, 8), 16, 10).cast("long") % n
+
+
+def bucket_of(key: str, cluster: Sequence[str], clusters: int, per: int) -> Column:
+    own = slot([key], per) if cluster else slot([key], clusters * per)
+    return (slot(cluster, clusters) * per + own if cluster else own).cast("int")
 
 
 def read_current(spark: SparkSession, root: str) -> DataFrame:
-    path = current_path(spark, root)
-    if path is None:
+    """The table's rows, through its newest manifest."""
+    m = manifest.current(spark, root)
+    if m is None:
         raise FileNotFoundError(f"no committed version under {root}")
-    return spark.read.parquet(path)
+    return _read(spark, root, m, [p for paths in m.entries.values() for p in paths])
+
+
+def _read(spark: SparkSession, root: str, m: manifest.Manifest, folders: Sequence[str]) -> DataFrame:
+    schema = T.StructType.fromJson(json.loads(m.facts["schema"]))
+    if not folders:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(*(f"{root.rstrip('/')}/{p}" for p in folders))
 
 
 def merge_batch(current: DataFrame | None, batch: DataFrame, key: str) -> DataFrame:
     """The upserted rows, lazily: the anti join (J05) plus the batch."""
     if current is None:
         return batch
-    kept = current.join(batch.select(key), on=key, how="left_anti")
-    return kept.unionByName(batch.select(*current.columns))
-
-
-def upsert(batch: DataFrame, root: str, key: str) -> str:
-    """Write the next version of the table at ``root``; returns its path."""
-    spark = batch.sparkSession
-    root = root.rstrip("/")
-    at = versions.current_path(spark, root)
-    if at is None:
-        nxt = versions.next_path(spark, root)
-        batch.write.parquet(nxt)
-        return nxt
-    landed = f"{root}/batch-{uuid.uuid4().hex[:12]}"
-    batch.write.parquet(landed)
-    nxt = versions.next_path(spark, root)
-    merge_batch(spark.read.parquet(at), spark.read.parquet(landed), key).write.parquet(nxt)
-    fs.delete(spark, landed)
+    return survivors(current, batch, key).unionByName(batch.select(*current.columns))
+
+
+def survivors(current: DataFrame, batch: DataFrame, key: str) -> DataFrame:
+    return current.join(batch.select(key), on=key, how="left_anti")
+
+
+def _write(rows: DataFrame, root: str, folder: str, bucket: Column) -> dict[str, str]:
+    """Write rows by bucket; the folder of every bucket that has any."""
+    (rows.withColumn(BUCKET, bucket).hint("rebalance", BUCKET)
+     .write.partitionBy(BUCKET).parquet(f"{root}/{folder}"))
+    prefix = f"{BUCKET}="
+    return {name.removeprefix(prefix): f"{folder}/{name}"
+            for name in fs.list_dirs(rows.sparkSession, f"{root}/{folder}") if name.startswith(prefix)}
+
+
+def upsert(batch: DataFrame, root: str, key: str, cluster: Sequence[str] = (),
+           clusters: int = CLUSTERS, per: int = PER_CLUSTER) -> str:
+    """Upsert ``batch`` into the table at ``root`` (made if there is none); returns ``root``.
+
+    ``cluster``, ``clusters`` and ``per`` lay out a new table; an existing one keeps its own.
+    Null keys match nothing, so their rows are kept and added.
+    """
+    spark, root = batch.sparkSession, root.rstrip("/")
+    m = manifest.current(spark, root)
+    if m is None:
+        plain = batch.schema.json()
+        m = manifest.Manifest(0, {}, {"schema": plain, "key": key, "cluster": list(cluster),
+                                      "clusters": clusters, "per": per})
+    elif m.facts["key"] != key:
+        raise ValueError(f"the table's key is {m.facts['key']}")
+    bucket = bucket_of(key, m.facts["cluster"], m.facts["clusters"], m.facts["per"])
+    columns = [f["name"] for f in json.loads(m.facts["schema"])["fields"]]
+    folder = f"{DATA}/w-{uuid.uuid4().hex[:12]}"
+    try:
+        added = _write(batch.select(*columns), root, f"{folder}/new", bucket)
+        before = [p for b in added for p in m.entries.get(b, [])]
+        kept: dict[str, str] = {}
+        if before:
+            new = _read(spark, root, m, list(added.values()))
+            kept = _write(survivors(_read(spark, root, m, before), new, key), root, f"{folder}/kept", bucket)
+        entries = m.entries | {b: [p, *([kept[b]] if b in kept else [])] for b, p in added.items()}
+        manifest.commit(spark, root, entries, m.facts)
+    except BaseException:
+        fs.delete(spark, f"{root}/{folder}")
+        raise
     vacuum(spark, root, KEPT_VERSIONS)
-    return nxt
+    return root
+
+
+def rewritten(spark: SparkSession, root: str) -> DataFrame:
+    """(bucket, rewritten) of the newest version against the one before it; at most a row per bucket."""
+    have = [m for m in (manifest.read(spark, root, v) for v in manifest.versions(spark, root)) if m]
+    old = have[-2].entries if len(have) > 1 else {}
+    return spark.createDataFrame([(int(b), old.get(b) != paths) for b, paths in have[-1].entries.items()],
+                                 "bucket int, rewritten boolean")
 
 
 def vacuum(spark: SparkSession, root: str, keep: int = 2) -> list[str]:
-    """Drop committed versions older than the newest ``keep``."""
-    return versions.vacuum(spark, root, keep)
+    """Drop versions older than the newest ``keep`` and files that none of those lists."""
+    return manifest.vacuum(spark, root, DATA, keep)

@@ -245,15 +245,16 @@ def _fact_batches(spark, sf_dir, strata: bool):
 
 
 def _upserted(spark, sf_dir, strata: bool):
-    key = "fact_strat_sk" if strata else "fact_sk"
+    name = "fact_strat" if strata else "fact_base"
+    key = facts.KEYS[name]
     old, batch = _fact_batches(spark, sf_dir, strata)
     root = work_dir(spark, key)
     batch_path = f"{root}_batch"   # the batch lands once, as a run would receive it
     batch.write.mode("overwrite").parquet(batch_path)
     batch = spark.read.parquet(batch_path)
-    upsert.upsert(old, root, key)
-    upsert.upsert(batch, root, key)
-    upsert.upsert(batch, root, key)   # the same batch again changes nothing
+    upsert.upsert(old, root, key, facts.CLUSTER)
+    upsert.upsert(batch, root, key, facts.CLUSTER)
+    upsert.upsert(batch, root, key, facts.CLUSTER)   # the same batch again changes nothing
     return upsert.read_current(spark, root)
 
 
@@ -267,20 +268,33 @@ def upsert_fact_strat(spark, sf_dir):
     return _upserted(spark, sf_dir, strata=True)
 
 
+def upsert_touched_buckets(spark, sf_dir):
+    """All facts, then a batch restating one year; per bucket, whether it was written again, and its rows."""
+    root = work_dir(spark, "touched")
+    key = facts.KEYS["fact_base"]
+    upsert.upsert(facts.fact_base(_clean(spark, sf_dir)), root, key, facts.CLUSTER)
+    restated = facts.fact_base(_clean(spark, sf_dir, strip="all"))
+    upsert.upsert(restated.where(F.col("year_start") == 1996), root, key, facts.CLUSTER)
+    bucket = upsert.bucket_of(key, facts.CLUSTER, upsert.CLUSTERS, upsert.PER_CLUSTER)
+    rows = (upsert.read_current(spark, root).groupBy(bucket.alias("bucket"))
+            .agg(F.count(F.lit(1)).alias("n_rows"), F.sum(F.round(F.col("data_value") * 100).cast("long")).alias("cents")))
+    return upsert.rewritten(spark, root).join(rows, "bucket")
+
+
 PUBLISH_PREFIX = "published/marts/"
 
 
 def _published(spark, sf_dir) -> tuple[str, dict[str, str]]:
     root = work_dir(spark, "lake")
-    models, _ = job.materialize(spark, _staged(spark, sf_dir), f"{root}/work", facts_too=False)
-    uris = publish.publish_all({n: models[n] for n in job.MART_NAMES}, root, PUBLISH_PREFIX)
-    return root, uris
+    _, paths = job.materialize(spark, _staged(spark, sf_dir), f"{root}/work", facts_too=False,
+                               target=(root, PUBLISH_PREFIX))
+    return root, publish.commit(spark, root, PUBLISH_PREFIX, {n: paths[n] for n in job.MART_NAMES})
 
 
 def publish_roundtrip(spark, sf_dir):
     """Publish the marts under a prefix with a trailing '/', read one back."""
     root, _ = _published(spark, sf_dir)
-    back = spark.read.parquet(publish.output_uri(root, PUBLISH_PREFIX, "agg_indicator_year_overall"))
+    back = publish.read_mart(spark, publish.output_uri(root, PUBLISH_PREFIX, "agg_indicator_year_overall"))
     return back.select("indicator_name", "year", stable_round("avg_value").alias("avg_value"),
                        "n_obs")
 
@@ -312,7 +326,7 @@ def published_inventory(spark, sf_dir):
         "mart", (F.col("n_files") > 0).alias("has_files"), (F.col("total_bytes") > 0).alias("has_bytes"))
     counts = None
     for name, uri in uris.items():
-        one = spark.read.parquet(uri).agg(F.lit(name).alias("mart"), F.count(F.lit(1)).alias("n_rows"))
+        one = publish.read_mart(spark, uri).agg(F.lit(name).alias("mart"), F.count(F.lit(1)).alias("n_rows"))
         counts = one if counts is None else counts.unionByName(one)
     return listed.join(counts, "mart")
 
@@ -371,10 +385,13 @@ def whole_job_from_csv(spark, sf_dir):
     root = work_dir(spark, "whole_job")
     write_raw_csv(raw_from_star(spark, sf_dir), f"{root}/csv")
     res = job.run(spark, JobParams(csv_uri=f"{root}/csv", output_prefix=PUBLISH_PREFIX), f"{root}/work")
+    tables = {n: spark.read.parquet(p) for n, p in res.dims.items()}
+    tables |= {n: upsert.read_current(spark, p) for n, p in res.facts.items()}
+    tables |= {n: publish.read_mart(spark, p) for n, p in res.published.items()}
     out = None
-    for name, path in {**res.dims, **res.facts, **res.published}.items():
+    for name, df in tables.items():
         year, amount = JOB_SUMS.get(name, ("0", "0"))
-        one = spark.read.parquet(path).agg(
+        one = df.agg(
             F.lit(name).alias("table_name"), F.count(F.lit(1)).alias("n_rows"),
             F.sum(F.expr(year)).alias("year_sum"), F.sum(F.expr(amount)).alias("amount_sum"))
         out = one if out is None else out.unionByName(one)
@@ -408,6 +425,7 @@ def queries() -> dict[str, Query]:
         "land_raw_idempotent": land_raw_idempotent,
         "upsert_fact_base": upsert_fact_base,
         "upsert_fact_strat": upsert_fact_strat,
+        "upsert_touched_buckets": upsert_touched_buckets,
         "publish_roundtrip": publish_roundtrip,
         "adhoc_sql": adhoc_sql,
         "published_inventory": published_inventory,

@@ -19,6 +19,10 @@ from indistar.operators.reshape import unpivot_slots
 OBS_KEY = ("year", "year_end", "location_id", "topic_id", "question_id", "response_id",
            "value_type_id", "state")
 
+# Keys of the incremental tables, and the column that both keys determine (a part of each).
+KEYS = {"fact_base": "fact_sk", "fact_strat": "fact_strat_sk"}
+CLUSTER = ("year_start",)
+
 STRATA_LONG_KEEP = ("year", "year_end", "location_id", "state", "state_name", "lon", "lat",
                     "topic_id", "topic", "question_id", "question", "response_id", "response",
                     "value_type_id", "value_type", "unit", "data_source", "value", "low_ci",

@@ -8,10 +8,10 @@ Materialisation plan (what is written, and why):
 * dimensions are written as small tables, so joins against them see a
   real file size and are broadcast by the planner's size check; beyond
   the threshold they stay sort-merge joins;
-* facts are maintained by keyed upsert into versioned tables (N07);
-* marts are built from the staged table, checked, and only then published
-  (N06/N09/N10). Checks run before publishing, so a failing run leaves the
-  previously published marts untouched.
+* facts are maintained by keyed upsert into bucketed tables (N07);
+* marts are built from the staged table and written once, where they will be published; checks
+  read them there, and only then one commit shows them (N06/N09/N10), so a failing run leaves the
+  previously published marts as they were.
 
 Every intermediate is a written table in the work folder (never a local
 checkpoint), so a lost executor costs a task retry, not a recomputation
@@ -23,6 +23,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -32,6 +33,7 @@ from indistar.plans import dims, facts, marts, staging
 from indistar.sources import publish
 from indistar.sources.contract import JobParams
 from indistar.sources.csv import read_raw_csv
+from indistar.sources.csv_split import read_raw_csv_split
 from indistar.sources.landing import land_raw
 
 # The declared data tests. Model, column and kind are as
@@ -134,26 +136,35 @@ class JobResult:
 
 
 def materialize(spark: SparkSession, clean_df: DataFrame, work_root: str,
-                facts_too: bool = True) -> tuple[dict[str, DataFrame], dict[str, str]]:
+                facts_too: bool = True, target: tuple[str, str | None] | None = None
+                ) -> tuple[dict[str, DataFrame], dict[str, str]]:
     """Write dimensions, then marts (and fact upserts), each once; read them back.
 
     Returns the models (written ones replaced by their read-back tables) and
     the written paths. Dimensions are written first so the mart join sees
     their real size; the independent writes of one level run concurrently.
+    Marts are staged under ``target`` (root, prefix), where a commit publishes them without
+    another write, or else under the work root.
     """
     work_root = work_root.rstrip("/")
+    root, prefix = target or (work_root, "marts")
     paths = _in_parallel({name: _writer(fn(clean_df), f"{work_root}/{name}")
                           for name, fn in dims.ALL.items()})
     models = build_models(clean_df, {name: spark.read.parquet(p) for name, p in paths.items()})
-    writes: dict[str, Callable[[], str]] = {
-        name: _writer(models[name], f"{work_root}/marts/{name}") for name in MART_NAMES}
+
+    def staged(name: str) -> Callable[[], str]:
+        return lambda: publish.stage(models[name], root, prefix, name)
+
+    def upserted(name: str, key: str) -> Callable[[], str]:
+        return lambda: upsert.upsert(models[name], f"{work_root}/{name}", key, facts.CLUSTER)
+
+    writes = {name: staged(name) for name in MART_NAMES}
     if facts_too:
-        writes["fact_base"] = lambda: upsert.upsert(models["fact_base"], f"{work_root}/fact_base",
-                                                    "fact_sk")
-        writes["fact_strat"] = lambda: upsert.upsert(models["fact_strat"],
-                                                     f"{work_root}/fact_strat", "fact_strat_sk")
+        writes |= {name: upserted(name, key) for name, key in facts.KEYS.items()}
     paths.update(_in_parallel(writes))
-    models.update({name: spark.read.parquet(paths[name]) for name in writes})
+    models.update({name: spark.read.parquet(paths[name]) for name in MART_NAMES})
+    if facts_too:
+        models.update({name: upsert.read_current(spark, paths[name]) for name in facts.KEYS})
     return models, paths
 
 
@@ -161,8 +172,9 @@ def run(spark: SparkSession, params: JobParams, work_root: str,
         raw: DataFrame | None = None, fail_on_dq: bool = True) -> JobResult:
     """Run the whole job. ``raw`` overrides the CSV input (N02 resolution)."""
     work_root = work_root.rstrip("/")
+    read = read_raw_csv_split if params.multi_line else partial(read_raw_csv, multi_line=False)
     source = raw if raw is not None else (                            # N01/N02, opened if needed
-        lambda: read_raw_csv(spark, params.resolved_csv_uri(), params.multi_line))
+        lambda: read(spark, params.resolved_csv_uri()))
     landed_df, landed_now = land_raw(source, f"{work_root}/raw", force=params.force_landing,
                                      spark=spark)                     # N03/N04
 
@@ -170,20 +182,24 @@ def run(spark: SparkSession, params: JobParams, work_root: str,
     staging.clean(landed_df, strip=params.strip).write.mode("overwrite").parquet(staged_path)
     clean_df = spark.read.parquet(staged_path)
 
-    models, paths = materialize(spark, clean_df, work_root)
-    report = quality.run_checks(models, DECLARED_CHECKS)              # D01-D05
-    report_path = f"{work_root}/dq_report"
-    report.write.mode("overwrite").parquet(report_path)
-    report = spark.read.parquet(report_path)
-    if fail_on_dq:
-        quality.assert_passed(report)
-
-    root = params.output_root or f"{work_root}/published"
-    published = publish.publish_all({n: models[n] for n in MART_NAMES},  # N06/N09/N10
-                                    root, params.output_prefix)
-    inv = publish.inventory(spark, root, params.output_prefix)        # N11
+    root = params.resolved_output_root() or f"{work_root}/published"
+    prefix = params.resolved_output_prefix()
+    models, paths = materialize(spark, clean_df, work_root, target=(root, prefix))
+    staged = {n: paths[n] for n in MART_NAMES}
+    try:
+        report = quality.run_checks(models, DECLARED_CHECKS)          # D01-D05
+        report_path = f"{work_root}/dq_report"
+        report.write.mode("overwrite").parquet(report_path)
+        report = spark.read.parquet(report_path)
+        if fail_on_dq:
+            quality.assert_passed(report)
+        published = publish.commit(spark, root, prefix, staged)       # N06/N09/N10
+    except BaseException:
+        publish.discard(spark, staged.values())                       # the marts before stay
+        raise
+    inv = publish.inventory(spark, root, prefix)                      # N11
     return JobResult(landed=f"{work_root}/raw", staged=staged_path,
                      dims={n: paths[n] for n in dims.ALL},
-                     facts={n: paths[n] for n in ("fact_base", "fact_strat")},
+                     facts={n: paths[n] for n in facts.KEYS},
                      published=published, report=report, inventory=inv,
                      landed_now=landed_now)

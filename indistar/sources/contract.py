@@ -40,6 +40,10 @@ RAW_SCHEMA = T.StructType([T.StructField(c, T.StringType(), True) for c in RAW_C
 # Default input location, and the environment variable that overrides it.
 DEFAULT_CSV_URI = "raw/indicators.csv"
 CSV_URI_ENV = "CSV_S3_URI"
+# The environment's names for the output bucket and prefix, and the default prefix.
+BUCKET_ENV = "S3_BUCKET"
+PREFIX_ENV = "S3_PARQUET_PREFIX"
+DEFAULT_PREFIX = "assignment/parquet"
 
 
 class ContractError(ValueError):
@@ -51,17 +55,28 @@ class JobParams:
     """Run parameters with the documented precedence.
 
     ``csv_uri`` given here wins; otherwise the ``CSV_S3_URI`` environment
-    variable; otherwise :data:`DEFAULT_CSV_URI`.
+    variable; otherwise :data:`DEFAULT_CSV_URI`. The output is resolved in the same way (N10): the
+    root given here, else the bucket that the environment names, else a folder of the job's own; the prefix
+    given here (empty: the root itself), else the environment's, else :data:`DEFAULT_PREFIX`.
     """
 
     csv_uri: str | None = None
     output_root: str | None = None
-    output_prefix: str = "assignment/parquet"  # fixed value: the published layout
+    output_prefix: str | None = None
     force_landing: bool = False
     strip: str = "first"
-    multi_line: bool = True            # False: files split, no newlines inside quoted fields
+    multi_line: bool = True            # False: no newlines inside quoted fields
     allowed_schemes: tuple[str, ...] | None = None  # N04: e.g. ("s3a", "s3"); None allows any
 
+    def resolved_output_root(self) -> str | None:
+        if self.output_root:
+            return self.output_root
+        bucket = env_or(BUCKET_ENV, "")
+        return f"s3a://{bucket}" if bucket else None
+
+    def resolved_output_prefix(self) -> str:
+        return env_or(PREFIX_ENV, DEFAULT_PREFIX) if self.output_prefix is None else self.output_prefix
+
     def resolved_csv_uri(self) -> str:
         uri = resolve_input_path(self.csv_uri)
         scheme = uri.split("://", 1)[0] if "://" in uri else "file"

@@ -1,12 +1,13 @@
 """Path checks on the cluster's file system (through Hadoop's FileSystem API).
 
-Only metadata operations: existence, completion markers, listing folder
-names, rename and delete of a whole folder. Data always moves through Spark
+Metadata operations (existence, completion markers, listing names, delete of a whole
+folder) and small text files such as manifests. Data always moves through Spark
 readers and writers.
 """
 
 from __future__ import annotations
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 SUCCESS_MARKER = "_SUCCESS"
@@ -36,15 +37,44 @@ def list_dirs(spark: SparkSession, path: str) -> list[str]:
     return sorted(st.getPath().getName() for st in fs.listStatus(p) if st.isDirectory())
 
 
-def delete(spark: SparkSession, path: str) -> bool:
+def list_files(spark: SparkSession, path: str) -> list[str]:
+    """Names of the files directly under ``path`` (empty when it does not exist)."""
     fs, p = _fs(spark, path)
-    return bool(fs.delete(p, True))
+    if not fs.exists(p):
+        return []
+    return sorted(st.getPath().getName() for st in fs.listStatus(p) if st.isFile())
 
 
-def rename(spark: SparkSession, src: str, dst: str) -> bool:
-    fs, p = _fs(spark, src)
-    _, q = _fs(spark, dst)
-    return bool(fs.rename(p, q))
+def create_text(spark: SparkSession, path: str, text: str) -> bool:
+    """Write a small file that must not exist yet; False if it does."""
+    fs, p = _fs(spark, path)
+    if fs.exists(p):
+        return False
+    try:
+        out = fs.create(p, False)
+    except Py4JJavaError as e:
+        if "FileAlreadyExists" in str(e.java_exception):
+            return False
+        raise
+    try:
+        out.write(bytearray(text, "utf-8"))
+    finally:
+        out.close()
+    return True
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    fs, p = _fs(spark, path)
+    stream = fs.open(p)
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def delete(spark: SparkSession, path: str) -> bool:
+    fs, p = _fs(spark, path)
+    return bool(fs.delete(p, True))
 
 
 def modification_time(spark: SparkSession, path: str) -> int:

@@ -25,11 +25,9 @@ from indistar.sources.contract import RAW_SCHEMA
 def apply_batch(batch: DataFrame, fact_root: str, strip: str = "first") -> dict[str, str]:
     """Stage one batch of raw rows and upsert it into both fact tables."""
     clean_df = staging.clean(batch, strip=strip)
-    return {
-        "fact_base": upsert.upsert(facts.fact_base(clean_df), f"{fact_root}/fact_base", "fact_sk"),
-        "fact_strat": upsert.upsert(facts.fact_strat(facts.strata_long(clean_df)),
-                                    f"{fact_root}/fact_strat", "fact_strat_sk"),
-    }
+    rows = {"fact_base": facts.fact_base(clean_df), "fact_strat": facts.fact_strat(facts.strata_long(clean_df))}
+    return {name: upsert.upsert(rows[name], f"{fact_root}/{name}", key, facts.CLUSTER)
+            for name, key in facts.KEYS.items()}
 
 
 def start_incremental_facts(spark: SparkSession, landing_dir: str, fact_root: str,

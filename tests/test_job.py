@@ -1,8 +1,11 @@
 """The whole job on the smallest scale: land, stage, build, check, publish, list."""
 
+import pytest
 from pyspark.sql import functions as F
 
+from indistar.operators import quality, upsert
 from indistar.plans import job
+from indistar.sources import fs, manifest, publish
 from indistar.sources.contract import JobParams
 from indistar.sources.star import raw_from_star
 
@@ -17,8 +20,23 @@ def test_job_end_to_end_and_rerun(spark, tmp_path):
     marts = {r.mart for r in res.inventory.collect()}
     assert marts == set(job.MART_NAMES)
     assert all(u.endswith(".parquet") and "/assignment/parquet/" in u for u in res.published.values())
-    n_base = spark.read.parquet(res.facts["fact_base"]).count()
+    n_base = upsert.read_current(spark, res.facts["fact_base"]).count()
+    version = manifest.current(spark, res.facts["fact_base"]).version
     again = job.run(spark, JobParams(output_prefix="assignment/parquet/"), work, raw=raw)
     assert not again.landed_now  # landing skipped: already complete
-    assert again.facts["fact_base"] != res.facts["fact_base"]  # a new version
-    assert spark.read.parquet(again.facts["fact_base"]).count() == n_base  # upsert is idempotent
+    assert manifest.current(spark, again.facts["fact_base"]).version > version  # a new version
+    assert upsert.read_current(spark, again.facts["fact_base"]).count() == n_base  # upsert is idempotent
+
+
+def test_failing_checks_leave_the_published_marts(spark, tmp_path):
+    work = str(tmp_path / "work")
+    raw = raw_from_star(spark, "/root/testdata/sf0.001")
+    params = JobParams(output_prefix="marts", force_landing=True)
+    uri = job.run(spark, params, work, raw=raw).published["agg_indicator_trend"]
+    before, folder = publish.read_mart(spark, uri).count(), publish.current_path(spark, uri)
+    broken = raw.withColumn("LocationID", F.when(F.col("YearStart") != "1995", F.col("LocationID")).otherwise(""))
+    with pytest.raises(quality.DataQualityError, match="not_null"):
+        job.run(spark, params, work, raw=broken)
+    assert publish.current_path(spark, uri) == folder and publish.read_mart(spark, uri).count() == before
+    # what the failed run had staged is gone, and every mart has one folder
+    assert [f for f in fs.list_dirs(spark, uri)] == [folder.rsplit("/", 1)[1]]

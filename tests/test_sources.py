@@ -3,8 +3,8 @@
 import pytest
 from pyspark.sql import functions as F
 
-from indistar.sources import fs, publish
-from indistar.sources.contract import (RAW_COLUMNS, ContractError, check_contract,
+from indistar.sources import fs, manifest, publish
+from indistar.sources.contract import (RAW_COLUMNS, ContractError, JobParams, check_contract,
                                        resolve_input_path)
 from indistar.sources.csv import read_raw_csv
 from indistar.sources.landing import land_raw
@@ -107,3 +107,49 @@ def test_csv_header_matched_by_name(spark, tmp_path):
     assert tuple(df.columns) == RAW_COLUMNS
     r = df.first()
     assert (r.YearStart, r.Topic, r.DataValue) == ("2019", "T", "1.5")
+
+
+def test_failed_publish_keeps_every_old_mart(spark, tmp_path):
+    root = str(tmp_path / "lake")
+    publish.publish_all({"a": spark.range(3), "b": spark.range(4)}, root, "p/")
+    bad = spark.range(5).selectExpr("cast(assert_true(id < 0) as string) as id")
+    with pytest.raises(Exception):
+        publish.publish_all({"a": spark.range(30), "b": bad}, root, "p/")
+    uri = {n: publish.output_uri(root, "p", n) for n in "ab"}
+    assert [publish.read_mart(spark, uri[n]).count() for n in "ab"] == [3, 4]
+    assert len(fs.list_dirs(spark, uri["a"])) == 1  # what was staged is gone
+    publish.publish(spark.range(30), root, "p/", "a")  # the other mart stays published
+    assert [publish.read_mart(spark, uri[n]).count() for n in "ab"] == [30, 4]
+    for n in range(4):
+        publish.publish(spark.range(n), root, "p/", "a")
+    assert len(fs.list_dirs(spark, uri["a"])) == publish.KEPT_VERSIONS
+    with pytest.raises(FileNotFoundError):
+        publish.read_mart(spark, publish.output_uri(root, "p", "c"))
+
+
+def test_manifests_cut_short_or_written_twice(spark, tmp_path):
+    root = str(tmp_path / "m")
+    assert manifest.current(spark, root) is None
+    manifest.commit(spark, root, {"a": ["x"]})
+    (tmp_path / "m" / manifest.FOLDER / "00000002.json").write_text('{"version": 2, "entr')
+    assert manifest.current(spark, root).entries == {"a": ["x"]}
+    assert manifest.commit(spark, root, {"a": ["y"]}).version == 3
+    assert not fs.create_text(spark, f"{root}/{manifest.FOLDER}/00000003.json", "{}")
+    assert manifest.current(spark, root).entries == {"a": ["y"]}
+
+
+def test_output_precedence(monkeypatch):
+    for name in ("S3_BUCKET", "S3_PARQUET_PREFIX"):
+        monkeypatch.delenv(name, raising=False)
+    assert JobParams().resolved_output_root() is None and JobParams().resolved_output_prefix() == "assignment/parquet"
+    monkeypatch.setenv("S3_BUCKET", "lake")
+    monkeypatch.setenv("S3_PARQUET_PREFIX", "gold/")
+    assert (JobParams().resolved_output_root(), JobParams().resolved_output_prefix()) == ("s3a://lake", "gold/")
+    own = JobParams(output_root="/data", output_prefix="")
+    assert (own.resolved_output_root(), own.resolved_output_prefix()) == ("/data", "")
+
+
+def test_scheme_gate():
+    with pytest.raises(ContractError, match="scheme"):
+        JobParams(csv_uri="/tmp/x.csv", allowed_schemes=("s3a",)).resolved_csv_uri()
+    assert JobParams(csv_uri="s3a://b/x.csv", allowed_schemes=("s3a",)).resolved_csv_uri() == "s3a://b/x.csv"

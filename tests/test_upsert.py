@@ -3,6 +3,7 @@
 import pytest
 
 from indistar.operators import upsert
+from indistar.sources import manifest
 
 
 def _rows(df):
@@ -35,6 +36,43 @@ def test_failed_write_leaves_current_version(spark, tmp_path):
     assert _rows(upsert.read_current(spark, root)) == [(1, "a"), (2, "b")]
 
 
+def test_only_touched_buckets_are_written(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    root = str(tmp_path / "t")
+    key = F.concat_ws("-", "y", (F.col("id") % 500).cast("string"))
+    rows = spark.range(4000).withColumn("y", (F.col("id") % 8).cast("int")).select(key.alias("k"), "y", "id")
+    upsert.upsert(rows, root, "k", ["y"], clusters=8, per=4)
+    first = manifest.current(spark, root)
+    batch = rows.where("y = 3").select("k", "y", (-F.col("id")).alias("id"))
+    upsert.upsert(batch, root, "k")
+    second = manifest.current(spark, root)
+    changed = {b for b in second.entries if second.entries[b] != first.entries.get(b)}
+    own = {str(r[0]) for r in batch.select(upsert.bucket_of("k", ["y"], 8, 4)).distinct().collect()}
+    assert changed == own and len(own) <= 4 < len(second.entries)
+    got = sorted((r.k, r.y, r.id) for r in upsert.read_current(spark, root).collect())
+    want = sorted((r.k, r.y, -r.id if r.y == 3 else r.id) for r in rows.collect())
+    assert got == want
+    flags = {r.bucket for r in upsert.rewritten(spark, root).where("rewritten").collect()}
+    assert flags == {int(b) for b in changed}
+    # the bytes written follow the batch, not the table
+    size = lambda p: sum(f.stat().st_size for f in (tmp_path / "t" / p).rglob("*.parquet"))
+    assert sum(size(p) for b in changed for p in second.entries[b]) < sum(size(p) for ps in first.entries.values() for p in ps) / 4
+    with pytest.raises(ValueError, match="key"):
+        upsert.upsert(batch, root, "y")
+
+
+def test_empty_and_null_batches(spark, tmp_path):
+    root = str(tmp_path / "t")
+    empty = spark.createDataFrame([], "k string, v int")
+    upsert.upsert(empty, root, "k")
+    assert upsert.read_current(spark, root).collect() == []
+    odd = spark.createDataFrame([(None, 1), ("", 2), (None, 3)], "k string, v int")
+    upsert.upsert(odd, root, "k")
+    upsert.upsert(empty, root, "k")
+    assert sorted(r.v for r in upsert.read_current(spark, root).collect()) == [1, 2, 3]
+
+
 def test_hot_key_third_of_rows_stays_exact(spark):
     """One key holds a third of all rows; the sort-merge anti join is split by AQE."""
     from pyspark.sql import functions as F
