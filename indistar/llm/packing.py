@@ -41,7 +41,7 @@ from pyspark.sql.window import Window
 
 from indistar.llm.common import id_text, materialize
 from indistar.llm.ranks import positions, running_sum
-from indistar.llm.tokens import Memo, bare_words, groups, json_encoder
+from indistar.llm.tokens import Memo, WordEndEncoder, groups, units
 
 #: Tokens of a sequence, and of a class of lengths (a divisor of it).
 LENGTH, GRID = 4096, 32
@@ -151,7 +151,7 @@ def _encode(path: str, end_id: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if not memo:
-            memo.append(Memo(bare_words, json_encoder(path, plain_specials=False)))
+            memo.append(Memo(units, WordEndEncoder(path)))
         for b in batches:
             texts = b.column("text").to_pylist()
             for lo, hi in groups(texts):
@@ -180,7 +180,7 @@ def _unpack_ids(data: bytes) -> np.ndarray:
 
 
 def encode(docs: DataFrame, path: str, end_id: int) -> DataFrame:
-    """Written rows: row (a key), doc_id, n tokens with the end id, compressed ids."""
+    """Written rows, by a vocabulary with word ends that drops white space: row (a key), doc_id, n tokens with the end id, compressed ids."""
     rows = id_text(docs).withColumn("row", F.monotonically_increasing_id()).select("row", "doc_id", "text")
     return materialize(rows.mapInArrow(_encode(path, end_id), "row long, doc_id long, n long, ids binary"), "token-ids")
 

@@ -9,6 +9,7 @@ words it has met only once (all words, if that is not enough), so memory does no
 
 from __future__ import annotations
 
+import re
 from array import array
 from collections.abc import Callable, Iterator, Sequence
 
@@ -108,10 +109,13 @@ class Memo:
         for t in texts:
             words += self.cut(t)
             ends.append(len(words))
-        new = [w for w in dict.fromkeys(words) if w not in self.index]
+        codes = list(map(self.index.get, words))
+        new = [i for i, c in enumerate(codes) if c is None]
         if new:
-            self._learn(new)
-        codes = np.fromiter(map(self.index.__getitem__, words), dtype=np.int64, count=len(words))
+            self._learn(list(dict.fromkeys(words[i] for i in new)))
+            for i in new:
+                codes[i] = self.index[words[i]]
+        codes = np.fromiter(codes, dtype=np.int64, count=len(words))
         met = np.bincount(codes, minlength=len(self.index))
         met[:len(self.met)] += self.met
         self.met, out = met, []
@@ -140,6 +144,58 @@ def json_encoder(path: str, plain_specials: bool, prefix: str = "") -> Callable[
                                                                      add_special_tokens=False)]
 
 
+# Letters that stay letters, one for one, when composed and lower-cased; signs; and all else but white space.
+_LETTER = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f"
+_UNIT = re.compile(rf"'(?:s|t|re|ve|m|ll|d)|[{_LETTER}]+|[0-9]|[!-/:-@\[-`{{-~]+")
+_OTHER = re.compile(rf"[^{_LETTER}\t-\r -~]|<\|")
+
+
+def units(text: str) -> list[str]:
+    """The units of a text for a vocabulary that drops white space and case and merges within
+    units only: runs of letters, digits, runs of signs, and the English endings behind an apostrophe.
+
+    Texts with characters that composing or lower-casing could move to another unit, or with what
+    may be a special string, are cut at white space only.
+    """
+    return bare_words(text) if _OTHER.search(text) else _UNIT.findall(text.lower())
+
+
+class WordEndEncoder:
+    """Units (see :func:`units`) or words by a vocabulary that marks the end of every unit.
+
+    White space separates units and is dropped, so many units go through the tokenizer as one spaced
+    text, and the marks tell whose ids are whose.
+    """
+
+    MARK = "</w>"
+
+    def __init__(self, path: str):
+        import json
+
+        with open(path, encoding="utf-8") as f:
+            vocabulary = json.load(f)["model"]["vocab"]
+        self.ends = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
+        self.ends[[i for piece, i in vocabulary.items() if piece.endswith(self.MARK)]] = True
+        self.whole = json_encoder(path, plain_specials=False)
+
+    def _units(self, part: list[str]) -> list[Sequence[int]]:
+        ids = self.whole([" ".join(part)])[0]
+        cut = np.flatnonzero(self.ends[ids]) + 1
+        if len(cut) != len(part) or cut[-1] != len(ids):
+            return self.whole(part)
+        cut = cut.tolist()
+        return [ids[a:b] for a, b in zip([0, *cut[:-1]], cut, strict=True)]
+
+    def __call__(self, words: list[str]) -> list[Sequence[int]]:
+        made: dict[str, Sequence[int]] = {}
+        plain = [w for w in words if _UNIT.fullmatch(w) and not _OTHER.search(w)]
+        for i in range(0, len(plain), 2000):
+            made.update(zip(plain[i:i + 2000], self._units(plain[i:i + 2000]), strict=True))
+        rest = [w for w in words if w not in made]
+        made.update(zip(rest, self.whole(rest), strict=True))
+        return [made[w] for w in words]
+
+
 def piece_encoder(path: str) -> Callable[[list[str]], list[Sequence[int]]]:
     """Words by a piece model, which itself puts a space before each.
 
