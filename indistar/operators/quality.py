@@ -10,8 +10,7 @@ D04 ``unique_combination_of_columns`` column combinations (NULLs group) seen mor
 D05 :func:`run_checks`                one report row per check; :func:`assert_passed` raises
 
 All are aggregations or anti joins with partial aggregation before any
-shuffle; the report folds the not-null counts of one model into a single
-pass over it.
+shuffle; the report runs the whole suite as one aggregation over every model.
 """
 
 from __future__ import annotations
@@ -19,7 +18,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -78,56 +77,75 @@ REPORT_SCHEMA = T.StructType([
 ])
 
 
-def _report(df: DataFrame, check: Check) -> DataFrame:
-    return df.select(F.lit(check.kind).alias("check"), F.lit(check.model).alias("model"),
-                     F.lit(check.column_name).alias("column_name"),
-                     F.col("failures").cast("bigint").alias("failures"),
-                     (F.col("failures") == 0).alias("passed"))
+# What a row says of a check: a null, a key (unique), a child's or a parent's key (relationships).
+_NULL, _KEY, _CHILD, _PARENT = 0, 1, 2, 3
+
+
+def _key_text(df: DataFrame, columns: Sequence[str]) -> Column:
+    """Text that is equal for equal values and no others; NULLs are equal."""
+    def one(c: str) -> Column:
+        v = F.col(c)
+        if isinstance(df.schema[c].dataType, (T.DoubleType, T.FloatType)):
+            v = v + F.lit(0.0)  # -0.0 is 0.0
+        v = v.cast("string")
+        return F.coalesce(F.concat(F.length(v).cast("string"), F.lit(":"), v), F.lit("-"))
+    return F.concat(*map(one, columns))
+
+
+def _mark(df: DataFrame, number: int, check: Check, parent: bool) -> Column:
+    """What each row of ``df`` says of the check: (check, what, key), null if nothing."""
+    columns = [check.field] if parent else list(check.columns)
+    set_ = F.lit(True)
+    if check.kind == "not_null":
+        what, key, set_ = _NULL, F.lit(""), F.col(columns[0]).isNull()
+    elif check.kind == "unique_combination_of_columns":
+        what, key = _KEY, _key_text(df, columns)
+    else:
+        what = _KEY if check.kind == "unique" else _PARENT if parent else _CHILD
+        key, set_ = _key_text(df, columns), F.col(columns[0]).isNotNull()
+    return F.when(set_, F.struct(F.lit(number).alias("number"), F.lit(what).alias("what"), key.alias("key")))
 
 
 def run_checks(models: Mapping[str, DataFrame], checks: Sequence[Check]) -> DataFrame:
     """One row per check: (check, model, column_name, failures, passed).
 
-    The not-null checks of one model are counted in one aggregation over it;
-    every other check is one small aggregate. The result has one row per
+    The whole suite is one pass: every model is read once, each row gives the nulls and keys that
+    its checks ask for, and all of them meet in one aggregation by check and key, where a
+    relationship's children find their parents too. Keys are counted before the shuffle, so a hot
+    key or a column full of nulls costs a row per task. The result has one row per
     check, however large the models are.
     """
-    parts: list[DataFrame] = []
-    by_model: dict[str, list[Check]] = {}
-    for c in checks:
-        if c.kind == "not_null":
-            by_model.setdefault(c.model, []).append(c)
-    for model, group in by_model.items():
-        df = models[model]
-        counts = df.agg(*[F.count(F.when(F.col(c.columns[0]).isNull(), 1)).alias(f"c{i}")
-                          for i, c in enumerate(group)])
-        # one pass over the model, then one report row per check
-        rows = F.array(*[F.struct(F.lit(c.kind).alias("check"), F.lit(c.model).alias("model"),
-                                  F.lit(c.column_name).alias("column_name"),
-                                  F.col(f"c{i}").cast("bigint").alias("failures"))
-                         for i, c in enumerate(group)])
-        parts.append(counts.select(F.inline(rows))
-                     .withColumn("passed", F.col("failures") == 0))
     for c in checks:
-        if c.kind == "not_null":
-            continue
-        df = models[c.model]
-        if c.kind == "unique":
-            failing = unique(df, c.columns[0])
-        elif c.kind == "relationships":
-            failing = relationships(df, c.columns[0], models[c.parent], c.field)
-        elif c.kind == "unique_combination_of_columns":
-            failing = unique_combination(df, c.columns)
-        else:
+        if c.kind not in ("not_null", "unique", "relationships", "unique_combination_of_columns"):
             raise ValueError(f"unknown check kind {c.kind!r}")
-        parts.append(_report(failing.agg(F.count(F.lit(1)).alias("failures")), c))
-    if not parts:
-        spark = SparkSession.getActiveSession()
-        return spark.createDataFrame([], REPORT_SCHEMA)
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+        if c.kind == "relationships":
+            types = models[c.model].schema[c.columns[0]].dataType, models[c.parent].schema[c.field].dataType
+            if types[0] != types[1]:
+                raise ValueError(f"{c.model}.{c.columns[0]} and {c.parent}.{c.field} differ in type")
+    if not checks:
+        return SparkSession.getActiveSession().createDataFrame([], REPORT_SCHEMA)
+    asked: dict[str, list[Column]] = {}
+    for i, c in enumerate(checks):
+        asked.setdefault(c.model, []).append(_mark(models[c.model], i, c, parent=False))
+        if c.kind == "relationships":
+            asked.setdefault(c.parent, []).append(_mark(models[c.parent], i, c, parent=True))
+    said = [models[m].select(F.inline(F.array_compact(F.array(*marks)))) for m, marks in asked.items()]
+    every = said[0]
+    for x in said[1:]:
+        every = every.unionByName(x)
+    is_ = lambda w: F.col("what") == w
+    met = every.groupBy("number", "key").agg(
+        F.count(F.when(is_(_NULL), 1)).alias("nulls"), F.count(F.when(is_(_KEY), 1)).alias("keys"),
+        F.count(F.when(is_(_CHILD), 1)).alias("children"), F.count(F.when(is_(_PARENT), 1)).alias("parents"))
+    failing = (F.col("nulls") + (F.col("keys") > 1).cast("long")
+               + F.when(F.col("parents") == 0, F.col("children")).otherwise(0))
+    counts = met.groupBy("number").agg(F.sum(failing).alias("failures"))
+    spark = every.sparkSession
+    declared = spark.createDataFrame([(i, c.kind, c.model, c.column_name) for i, c in enumerate(checks)],
+                                     "number int, check string, model string, column_name string")
+    failures = F.coalesce("failures", F.lit(0)).cast("bigint")
+    return declared.join(counts, "number", "left").select(
+        "check", "model", "column_name", failures.alias("failures"), (failures == 0).alias("passed"))
 
 
 def assert_passed(report: DataFrame) -> None:

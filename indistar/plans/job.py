@@ -20,6 +20,7 @@ from the source, and lineage stays short.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
@@ -30,7 +31,7 @@ from pyspark.sql import DataFrame, SparkSession
 from indistar.operators import quality, upsert
 from indistar.operators.quality import Check
 from indistar.plans import dims, facts, marts, staging
-from indistar.sources import publish
+from indistar.sources import fs, ledger, publish
 from indistar.sources.contract import JobParams
 from indistar.sources.csv import read_raw_csv
 from indistar.sources.csv_split import read_raw_csv_split
@@ -168,6 +169,35 @@ def materialize(spark: SparkSession, clean_df: DataFrame, work_root: str,
     return models, paths
 
 
+def run_incremental(spark: SparkSession, params: JobParams, work_root: str) -> tuple[dict[str, str], int]:
+    """Stage the CSV files that no run has processed yet, and upsert the facts with them.
+
+    Returns the fact tables' roots and the number of files that were read. Files count as processed once
+    both upserts are committed; a run that dies before that is repeated by the next one.
+    """
+    work_root = work_root.rstrip("/")
+    seen = f"{work_root}/ledger"
+    roots = {name: f"{work_root}/{name}" for name in facts.KEYS}
+    todo = ledger.pending(spark, seen, params.resolved_csv_uri())
+    try:
+        if todo.files:
+            read = read_raw_csv_split if params.multi_line else partial(read_raw_csv, multi_line=False)
+            staged = f"{work_root}/new-{uuid.uuid4().hex[:12]}"
+            try:
+                staging.clean(read(spark, todo.files), strip=params.strip).write.parquet(staged)
+                clean_df = spark.read.parquet(staged)
+                rows = {"fact_base": facts.fact_base(clean_df), "fact_strat": facts.fact_strat(facts.strata_long(clean_df))}
+                _in_parallel({n: partial(upsert.upsert, rows[n], roots[n], key, facts.CLUSTER)
+                              for n, key in facts.KEYS.items()})
+            finally:
+                fs.delete(spark, staged)
+    except BaseException:
+        ledger.discard(spark, seen, todo)
+        raise
+    ledger.commit(spark, seen, todo)
+    return roots, len(todo.files)
+
+
 def run(spark: SparkSession, params: JobParams, work_root: str,
         raw: DataFrame | None = None, fail_on_dq: bool = True) -> JobResult:
     """Run the whole job. ``raw`` overrides the CSV input (N02 resolution)."""

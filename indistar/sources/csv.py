@@ -9,8 +9,9 @@ inside quoted fields in the value, as the reference's CSV reader does.
 All files of a folder must have the same header, in the same order, and every row as many
 fields; anything else raises, so no value lands in a wrong column.
 
-A multi-line CSV file cannot be split, so each file is one task; ``multi_line=False`` splits
-files where no field holds a newline. Everything downstream of the landing reads Parquet.
+This reader takes a multi-line CSV file in one task; ``multi_line=False`` splits
+files where no field holds a newline, and :mod:`indistar.sources.csv_split` splits all others.
+Everything downstream of the landing reads Parquet.
 """
 
 from __future__ import annotations
@@ -30,7 +31,7 @@ def csv_reader(spark: SparkSession, multi_line: bool = True):
             .option("inferSchema", False))
 
 
-def read_raw_csv(spark: SparkSession, path: str, multi_line: bool = True,
+def read_raw_csv(spark: SparkSession, path: str | list[str], multi_line: bool = True,
                  require_rows: bool = False) -> DataFrame:
     """Raw rows under the contract: the 34 columns, all strings."""
     reader = csv_reader(spark, multi_line)
@@ -46,4 +47,5 @@ def write_raw_csv(df: DataFrame, path: str) -> None:
     """Write raw rows as a headed CSV folder that :func:`read_raw_csv` reads."""
     (df.write.mode("overwrite")
      .option("header", True).option("escape", '"').option("quote", '"')
+     .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
      .csv(path))

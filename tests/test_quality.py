@@ -40,3 +40,31 @@ def test_report_and_assert(spark):
     with pytest.raises(quality.DataQualityError):
         quality.assert_passed(quality.run_checks(models, checks))
     quality.assert_passed(quality.run_checks(models, checks[1:2]))
+
+
+def test_suite_is_one_aggregation_over_each_model(spark, tmp_path):
+    """Every model is scanned once and there is one shuffle by key, whatever the number of checks."""
+    rows = [(i, f"t{i % 5}", None if i % 10 == 0 else i % 3, float(i % 4)) for i in range(100)]
+    spark.createDataFrame(rows, "id int, topic string, n int, x double").write.parquet(str(tmp_path / "child"))
+    spark.createDataFrame([("t0",), ("t1",), ("t1",), (None,)], "topic string").write.parquet(str(tmp_path / "parent"))
+    models = {n: spark.read.parquet(str(tmp_path / n)) for n in ("child", "parent")}
+    checks = [Check("not_null", "child", ("n",)), Check("unique", "child", ("id",)), Check("unique", "child", ("topic",)),
+              Check("unique_combination_of_columns", "child", ("topic", "n")),
+              Check("unique_combination_of_columns", "child", ("id", "x")),
+              Check("relationships", "child", ("topic",), "parent", "topic"), Check("unique", "parent", ("topic",)),
+              Check("not_null", "parent", ("topic",))]
+    report = quality.run_checks(models, checks)
+    got = [r.failures for r in report.collect()]
+    want = []
+    for c in checks:
+        df = models[c.model]
+        want.append({"not_null": lambda: quality.not_null(df, c.columns[0]), "unique": lambda: quality.unique(df, c.columns[0]),
+                     "unique_combination_of_columns": lambda: quality.unique_combination(df, c.columns),
+                     "relationships": lambda: quality.relationships(df, c.columns[0], models["parent"], "topic")}[c.kind]().count())
+    assert sorted(got) == sorted(want) and sum(want) > 50
+    plan = report._jdf.queryExecution().executedPlan().toString()
+    plan = plan.split("== Initial Plan ==")[-1] if "== Initial Plan ==" in plan else plan
+    assert plan.count("FileScan parquet") == 2
+    assert plan.count("Exchange hashpartitioning(number") == 2  # by check and key, then by check
+    with pytest.raises(ValueError, match="differ in type"):
+        quality.run_checks(models, [Check("relationships", "child", ("n",), "parent", "topic")])
