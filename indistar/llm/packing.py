@@ -35,6 +35,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -150,13 +151,14 @@ def _encode(path: str, end_id: int):
     memo: list[Memo] = []
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        codec = IdCodec()
         if not memo:
             memo.append(Memo(units, WordEndEncoder(path)))
         for b in batches:
             texts = b.column("text").to_pylist()
             for lo, hi in groups(texts):
                 ids, at = memo[0].encode(texts[lo:hi])[0]
-                rows = [_pack_ids(np.append(ids[at[i]:at[i + 1]], end_id)) for i in range(hi - lo)]
+                rows = [codec.pack(np.append(ids[at[i]:at[i + 1]], end_id)) for i in range(hi - lo)]
                 n = pa.array(np.diff(at) + 1)
                 yield pa.RecordBatch.from_arrays(
                     [b.column("row").slice(lo, hi - lo), b.column("doc_id").slice(lo, hi - lo), n, pa.array(rows, pa.binary())],
@@ -164,19 +166,22 @@ def _encode(path: str, end_id: int):
     return run
 
 
-def _pack_ids(ids: np.ndarray) -> bytes:
-    import zstandard
+class IdCodec:
+    """Ids as compressed unsigned 32-bit numbers; one per task, as its contexts are costly to make."""
 
-    # bytes of equal weight side by side: high ones are mostly zero
-    planes = ids.astype("<u4").view(np.uint8).reshape(-1, 4).T
-    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(planes).tobytes())
+    def __init__(self):
+        import zstandard
 
+        self.packer, self.unpacker = zstandard.ZstdCompressor(level=1), zstandard.ZstdDecompressor()
 
-def _unpack_ids(data: bytes) -> np.ndarray:
-    import zstandard
+    def pack(self, ids: np.ndarray) -> bytes:
+        # bytes of equal weight side by side: high ones are mostly zero
+        planes = ids.astype("<u4").view(np.uint8).reshape(-1, 4).T
+        return self.packer.compress(np.ascontiguousarray(planes).tobytes())
 
-    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), dtype=np.uint8).reshape(4, -1)
-    return np.ascontiguousarray(planes.T).view("<u4")[:, 0]
+    def unpack(self, data: bytes) -> bytes:
+        planes = np.frombuffer(self.unpacker.decompress(data), dtype=np.uint8).reshape(4, -1)
+        return np.ascontiguousarray(planes.T).tobytes()
 
 
 def encode(docs: DataFrame, path: str, end_id: int) -> DataFrame:
@@ -296,19 +301,24 @@ def _give(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows with compressed ids and their pieces, to one row per piece with its ids."""
     names = ["doc_id", "start", "length", "ids", "doc_tokens", "sequence_id", "offset"]
     out: list[list] = [[] for _ in names]
-    held = 0
+    codec, held = IdCodec(), 0
     for b in batches:
-        for doc_id, n, data, pieces in zip(*(b.column(c) for c in ("doc_id", "n", "ids", "pieces")), strict=True):
-            ids = _unpack_ids(data.as_py())
-            for x in pieces.as_py():
-                part = ids[x["start"]:x["start"] + x["length"]].tobytes()
-                for col, v in zip(out, (doc_id.as_py(), x["start"], x["length"], part, n.as_py(), x["seq"], x["offset"]),
-                                  strict=True):
+        flat = b.column("pieces").flatten()
+        each = list(zip(*(flat.field(c).to_pylist() for c in ("start", "length", "seq", "offset")), strict=True))
+        many = pc.list_value_length(b.column("pieces")).to_pylist()
+        at = 0
+        for doc_id, n, data, k in zip(b.column("doc_id").to_pylist(), b.column("n").to_pylist(), b.column("ids"), many,
+                                      strict=True):
+            ids = codec.unpack(data.as_py())
+            for start, length, seq, offset in each[at:at + k]:
+                part = ids[4 * start:4 * (start + length)]
+                for col, v in zip(out, (doc_id, start, length, part, n, seq, offset), strict=True):
                     col.append(v)
                 held += len(part)
                 if held > BATCH_BYTES:
                     yield _batch(out, names)
                     out, held = [[] for _ in names], 0
+            at += k
     if out[0]:
         yield _batch(out, names)
 

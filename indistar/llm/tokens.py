@@ -18,7 +18,7 @@ import numpy as np
 #: Texts taken at a time: so many characters (or one longer text).
 GROUP_CHARS = 2_000_000
 #: The memo is full beyond so many words or ids.
-MEMO_WORDS, MEMO_IDS = 400_000, 6_000_000
+MEMO_WORDS, MEMO_IDS = 600_000, 6_000_000
 
 
 def groups(texts: Sequence[str], chars: int = GROUP_CHARS) -> Iterator[tuple[int, int]]:
@@ -148,6 +148,8 @@ def json_encoder(path: str, plain_specials: bool, prefix: str = "") -> Callable[
 _LETTER = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f"
 _UNIT = re.compile(rf"'(?:s|t|re|ve|m|ll|d)|[{_LETTER}]+|[0-9]|[!-/:-@\[-`{{-~]+")
 _OTHER = re.compile(rf"[^{_LETTER}\t-\r -~]|<\|")
+#: The bytes of Latin-1 that are not other.
+_KNOWN = bytes(i for i in range(256) if not _OTHER.match(chr(i)))
 
 
 def units(text: str) -> list[str]:
@@ -157,7 +159,11 @@ def units(text: str) -> list[str]:
     Texts with characters that composing or lower-casing could move to another unit, or with what
     may be a special string, are cut at white space only.
     """
-    return bare_words(text) if _OTHER.search(text) else _UNIT.findall(text.lower())
+    try:
+        other = text.encode("latin-1").translate(None, _KNOWN) or "<|" in text
+    except UnicodeEncodeError:
+        other = _OTHER.search(text)
+    return bare_words(text) if other else _UNIT.findall(text.lower())
 
 
 class WordEndEncoder:
