@@ -74,6 +74,8 @@ CHANCE_COST = 400.0
 SKETCH_BITS = 1024
 #: Nodes of a large bucket that one task compares with as many others at a time.
 BLOCK = 4096
+#: Tasks that share the tiles of the buckets with one least node, at most.
+SPREAD = 16
 
 
 def band_limits(top: int = 1 << 40) -> list[int]:
@@ -187,7 +189,7 @@ def _needs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
              pa.array(own + below, pa.int64())], names=["node", "lower", "need"])
 
 
-#: Nodes that a task remembers having written; a forgotten one is written again, harmlessly.
+#: Nodes or pairs that a task remembers having written; a forgotten one is written again, harmlessly.
 REMEMBERED = 200_000
 
 
@@ -262,8 +264,11 @@ def _tile_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows sorted by tile, to the tile's pairs that may link across components.
 
     A tile holds two blocks of one bucket, or one with itself; only the pairs that the
-    sketches let through are written.
+    sketches let through are written. Two sets that nearly link share hundreds of buckets; a task
+    gets those of one least node and remembers the pairs that it has written.
     """
+    seen: set[tuple[int, int]] = set()
+
     names = ("sig", "t0", "t1", "block", "node", "component", "probe", "size")
 
     def pairs(g: dict[str, np.ndarray]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -303,19 +308,22 @@ def _tile_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if held is not None:
             yield held
 
-    found_a, found_b, n = [], [], 0
+    def batch(found: list[tuple[int, int]]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found, strict=True)], names=["a", "b"])
+
+    found: list[tuple[int, int]] = []
     for tile in tiles():
+        if len(seen) > REMEMBERED:
+            seen.clear()
         for x, y in pairs(tile):
-            found_a.append(x)
-            found_b.append(y)
-            n += len(x)
-        if n > 50_000:
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(found_a)), pa.array(np.concatenate(found_b))],
-                                             names=["a", "b"])
-            found_a, found_b, n = [], [], 0
-    if n:
-        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(found_a)), pa.array(np.concatenate(found_b))],
-                                         names=["a", "b"])
+            new = set(zip(x.tolist(), y.tolist(), strict=True)) - seen
+            seen |= new
+            found += new
+        if len(found) > 50_000:
+            yield batch(found)
+            found = []
+    if found:
+        yield batch(found)
 
 
 def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -399,16 +407,18 @@ def node_components(texts: DataFrame, sizes: DataFrame) -> DataFrame:
     left = (members.join(comp, "node", "left")
             .select("sig", "node", "probe", F.coalesce("component", "node").alias("component")))
     mixed = (left.groupBy("sig").agg(F.min("component").alias("lo"), F.max("component").alias("hi"),
-                                     F.max("probe").alias("probed"), F.count(F.lit(1)).alias("n"))
-             .where("lo != hi and probed").select("sig", "n"))
+                                     F.max("probe").alias("probed"), F.count(F.lit(1)).alias("n"),
+                                     F.min("node").alias("least"))
+             .where("lo != hi and probed").select("sig", "n", "least"))
     blocks = F.ceil(F.col("n") / BLOCK).cast("int")
     tiled = (left.join(mixed, "sig").withColumn("blocks", blocks)
              .withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
              .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
              .join(sketches, "node")
              .select("sig", F.least("block", "other").alias("t0"), F.greatest("block", "other").alias("t1"),
-                     "block", "node", "component", "probe", "size", "sketch"))
-    rest = (tiled.repartition("sig", "t0", "t1").sortWithinPartitions("sig", "t0", "t1")
+                     "block", "node", "component", "probe", "size", "sketch", "least"))
+    spread = F.pmod(F.xxhash64("sig", "t0", "t1"), F.lit(SPREAD))
+    rest = (tiled.repartition("least", spread).drop("least").sortWithinPartitions("sig", "t0", "t1")
             .mapInArrow(_tile_pairs, "a long, b long").distinct())
     rest = materialize(rest.join(stars, ["a", "b"], "left_anti"), "rest-pairs")
     more = _links(rest, sketches, texts)
