@@ -136,12 +136,19 @@ def read_turns(formatted: Column) -> Column:
     return F.transform(pieces, parse)
 
 
+def under_mask(formatted: Column, spans: Column) -> Column:
+    """What the loss mask covers, unescaped, in order and with nothing between."""
+    cut = F.transform(spans, lambda s: F.substring(formatted, (s["start"] + 1).cast("int"), s["length"].cast("int")))
+    return unescape(F.array_join(cut, ""))
+
+
 def digests(formatted: DataFrame) -> DataFrame:
-    """The contract's figures, all read back from ``formatted``."""
-    t = formatted.select("conv_id", "formatted", read_turns(F.col("formatted")).alias("t"))
+    """The contract's figures, all read back from the output: turns from ``formatted``, loss by ``loss_spans``."""
+    t = formatted.select("*", read_turns(F.col("formatted")).alias("t"))
     whole = F.array_join(F.transform("t", lambda x: F.concat(x["role"], F.lit("\n"), x["text"], F.lit("\n"))), "")
-    loss = F.array_join(F.transform(F.filter("t", lambda x: x["role"] == LOSS_ROLE), lambda x: x["text"]), "")
     return (t.select("conv_id", F.size("t").cast("long").alias("n_turns"), F.sha2(whole, 256).alias("turns_sha256"),
-                     loss.alias("loss"), F.length("formatted").cast("long").alias("formatted_chars"))
+                     under_mask(F.col("formatted"), F.col("loss_spans")).alias("loss"),
+                     F.length("formatted").cast("long").alias("formatted_chars"),
+                     F.size("attachments").cast("long").alias("n_attachments"), "expanded_tokens")
             .select("conv_id", "n_turns", "turns_sha256", F.length("loss").cast("long").alias("loss_chars"),
-                    F.sha2("loss", 256).alias("loss_sha256"), "formatted_chars"))
+                    F.sha2("loss", 256).alias("loss_sha256"), "formatted_chars", "n_attachments", "expanded_tokens"))

@@ -13,7 +13,8 @@ SELECT conv_id, count(*) AS n_turns,
        sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
        coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
        sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
-       sum(shown)::BIGINT AS formatted_chars
+       sum(shown)::BIGINT AS formatted_chars,
+       0::BIGINT AS n_attachments, 0::BIGINT AS expanded_tokens -- the table's turns hold text only
 FROM sized GROUP BY conv_id
 """
 
