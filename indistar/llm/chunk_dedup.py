@@ -40,6 +40,7 @@ from indistar.llm.common import (
     materialize,
     merge_spans,
     mix,
+    neutral,
     range_hashes,
     with_row_key,
 )
@@ -180,8 +181,8 @@ def remove(docs: DataFrame) -> DataFrame:
     """``docs`` with later copies of repeated passages cut from ``text``; all columns stay.
 
     Cuts fall between bytes, so a code point that is cut through is replaced by U+FFFD.
-    Columns of ``docs`` must not start with ``_``.
     """
+    docs, names = neutral(docs)
     rows = with_row_key(docs.withColumn("text", F.coalesce(F.col("text").cast("string"), F.lit(""))))
     both = _joined(rows).withColumn("_in", F.struct("text", "_spans"))
 
@@ -190,7 +191,7 @@ def remove(docs: DataFrame) -> DataFrame:
                  for v in values]]
 
     out = append_columns(both, "_in", T.StructType([T.StructField("_kept", T.StringType())]), compute)
-    return out.withColumn("text", F.col("_kept")).select(*docs.columns)
+    return out.withColumn("text", F.col("_kept")).select(*docs.columns).toDF(*names)
 
 
 def report(docs: DataFrame) -> DataFrame:

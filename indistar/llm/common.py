@@ -164,6 +164,20 @@ def free_name(df: DataFrame, name: str) -> str:
     return name
 
 
+#: Columns of ``documents`` that operators read by name.
+DOCUMENT = ("doc_id", "text", "lang", "source", "n_chars")
+
+
+def neutral(docs: DataFrame, *own: str) -> tuple[DataFrame, list[str]]:
+    """``docs`` with all columns but those of ``DOCUMENT`` and ``own`` under neutral names, and the names before.
+
+    Operators that hand their input's columns through work on this, so no extra column can clash with
+    their helpers, and give the names back with ``toDF``.
+    """
+    names = docs.columns
+    return docs.toDF(*(c if c in (*DOCUMENT, *own) else f"extra{i}" for i, c in enumerate(names))), names
+
+
 #: Entries of a key list that may be broadcast (a few tens of MB); longer lists are shuffled.
 BROADCAST_ROWS = 1_000_000
 

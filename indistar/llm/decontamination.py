@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from indistar.llm.common import append_columns, id_text, materialize
+from indistar.llm.common import append_columns, id_text, materialize, neutral
 
 GRAM = 3
 NEEDED_SEEDS = 2
@@ -215,11 +215,11 @@ def find(docs: DataFrame, benchmark: DataFrame, min_score: float = MIN_SCORE) ->
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, min_score: float = MIN_SCORE) -> DataFrame:
-    """The documents that hold no copied item, with all their columns (none may start with ``_``)."""
-    out = docs
+    """The documents that hold no copied item, with all their columns."""
+    out, names = neutral(docs)
     for shared in blocks(benchmark):
         def compute(texts, shared=shared):
             return [[bool(t) and bool(matches(words(t), shared.value, min_score)) for t in texts]]
         field = T.StructType([T.StructField("_copied", T.BooleanType())])
         out = append_columns(out, "text", field, compute).where("not _copied").drop("_copied")
-    return out
+    return out.toDF(*names)

@@ -59,6 +59,7 @@ from indistar.llm.common import (
     join_keys,
     materialize,
     mix,
+    neutral,
     shingle_sets,
 )
 from indistar.llm.components import connected_components
@@ -449,8 +450,9 @@ def keep_one(docs: DataFrame) -> DataFrame:
     """``docs`` with one row of each group of linked documents (smallest id; null ids last).
 
     Rows with an empty set are all kept. Repeated rows (same id, same set) count as one
-    document: one of them stays. All columns come back; none may start with ``_``.
+    document: one of them stays. All columns come back.
     """
+    docs, names = neutral(docs)
     rows = materialize(_grouped(docs).where("component is not null"), "grouped")
     order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "node")
     first = rows.groupBy("component").agg(F.min(order).alias("first"))
@@ -467,4 +469,4 @@ def keep_one(docs: DataFrame) -> DataFrame:
     if not again.isEmpty():
         out = join_keys(out, again, same, "left_anti").unionByName(
             join_keys(out, again, same, "left_semi").dropDuplicates(["doc_id", "_own"]))
-    return out.select(*docs.columns)
+    return out.select(*docs.columns).toDF(*names)

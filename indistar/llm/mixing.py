@@ -29,7 +29,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from indistar.llm.common import materialize
+from indistar.llm.common import materialize, neutral
 
 DOMAINS = ("high", "low", "toxic")
 #: Target token shares of the mix, as parts of the tokens that go in.
@@ -224,9 +224,9 @@ class Mixer:
 
         A rate's whole part gives copies for certain and its fraction one more by a digest of
         the row, so a rate of one or more never loses a document and a re-run agrees. The
-        rate follows from the row itself; nothing is joined or shuffled. Columns of ``docs``
-        must not start with ``_``.
+        rate follows from the row itself; nothing is joined or shuffled.
         """
+        docs, names = neutral(docs)
         rows, _ = with_features(docs, self.lexicons)
         # written, so that the optimizer cannot copy the measures' expressions into each of their uses
         rows = materialize(rows, "rows")
@@ -236,4 +236,4 @@ class Mixer:
         rows = materialize(rows.withColumn("_copies", F.floor(rate + draw).cast("int")).select(*docs.columns, "_copies"),
                            "copies")
         return (rows.withColumn("_copy", F.explode(F.array_repeat(F.lit(1), F.col("_copies"))))
-                .select(*docs.columns))
+                .select(*docs.columns).toDF(*names))

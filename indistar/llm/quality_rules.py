@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from indistar.llm.common import append_columns, materialize
+from indistar.llm.common import append_columns, materialize, neutral
 
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
@@ -134,7 +134,8 @@ def apply(docs: DataFrame, host: str = "source", host_max_rate: float = HOST_MAX
 
     The rows are written once together with their measures; the second pass joins only the
     hosts' verdicts, so no text is shuffled while the host table is small enough to
-    broadcast by Spark's own size check. Columns of ``docs`` must not start with ``_``.
+    broadcast by Spark's own size check.
     """
-    measured = materialize(measured_rows(docs), "measured-rows")
-    return _verdicts(measured, host, host_max_rate).where("_kept").select(*docs.columns)
+    rows, names = neutral(docs, host)
+    measured = materialize(measured_rows(rows), "measured-rows")
+    return _verdicts(measured, host, host_max_rate).where("_kept").select(*rows.columns).toDF(*names)

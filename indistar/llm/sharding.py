@@ -9,9 +9,9 @@ placing it takes one look into the table, which every task has: the table's size
 parameter, and a table above ``MAX_SLOTS`` is refused, so its broadcast is bounded.
 
 Key: the document id; rows without one go by their text (null: empty), so they do not
-gather in one slot. Repeated rows share a shard. Empty tables give empty results. Columns
-of the input that are named like the added ones are refused by ``assign`` (ask for other
-names). Placement depends on the row alone: a hot source or group of copies does not skew
+gather in one slot. Repeated rows share a shard. Empty tables give empty results. Where the
+input has columns named like the added ones, those are added under the next free name, with
+underscores in front. Placement depends on the row alone: a hot source or group of copies does not skew
 shards, and a task that runs again places its rows alike.
 """
 
@@ -22,6 +22,8 @@ import hashlib
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from indistar.llm.common import free_name
+
 SHARDS = 32
 #: Prime, and over a hundred times the shards, which keeps shares within one percent.
 SLOTS = 4099
@@ -63,7 +65,7 @@ def lookup_table(names: list[str], slots: int = SLOTS) -> list[int]:
 
 
 def table_frame(spark: SparkSession, table: list[int]) -> DataFrame:
-    return spark.createDataFrame(list(enumerate(table)), "_slot long, _shard int")
+    return spark.createDataFrame(list(enumerate(table)), "slot long, shard int")
 
 
 def slot_of(key: Column, slots: int) -> Column:
@@ -74,14 +76,13 @@ def slot_of(key: Column, slots: int) -> Column:
 def assign(docs: DataFrame, shards: int = SHARDS, slots: int = SLOTS,
            slot_col: str = "slot", shard_col: str = "shard") -> DataFrame:
     """``docs`` with the slot (long) and the shard (int) of every row appended."""
-    taken = {c.lower() for c in docs.columns}
-    if {slot_col.lower(), shard_col.lower(), "_slot", "_shard"} & taken:
-        raise ValueError("the input already has a column named like an added one")
+    slot_col, shard_col = free_name(docs, slot_col), free_name(docs, shard_col)
     key = F.coalesce(F.col("doc_id").cast("string"),
                      F.concat(F.lit("text:"), F.coalesce(F.col("text").cast("string"), F.lit(""))))
-    table = table_frame(docs.sparkSession, lookup_table(shard_names(shards), slots))
-    placed = docs.withColumn("_slot", slot_of(key, slots)).join(F.broadcast(table), "_slot")
-    return placed.select(*docs.columns, F.col("_slot").alias(slot_col), F.col("_shard").alias(shard_col))
+    table = table_frame(docs.sparkSession, lookup_table(shard_names(shards), slots)).select(
+        F.col("slot").alias(slot_col), F.col("shard").alias(shard_col))
+    placed = docs.withColumn(slot_col, slot_of(key, slots)).join(F.broadcast(table), slot_col)
+    return placed.select(*docs.columns, slot_col, shard_col)
 
 
 def write_shards(assigned: DataFrame, path: str, shard_col: str = "shard") -> None:

@@ -402,8 +402,9 @@ def test_sharding(spark, texts):
     five = [r.shard for r in got if r.doc_id == 5]
     assert five[0] == five[1]
     assert sharding.assign(_docs(spark, texts).limit(0)).count() == 0
-    with pytest.raises(ValueError):
-        sharding.assign(_docs(spark, texts).withColumn("Shard", F.lit(1)))
+    clash = sharding.assign(_docs(spark, texts).withColumns({"Shard": F.lit(1), "_slot": F.lit(2)}))
+    assert clash.columns[-2:] == ["slot", "_shard"]
+    assert all(full[r["slot"]] == r["_shard"] and r["Shard"] == 1 and r["_slot"] == 2 for r in clash.collect())
     with pytest.raises(ValueError):
         sharding.lookup_table(["a", "b"], 10)
 
@@ -422,6 +423,9 @@ def test_chat_round_trip(spark):
     spans = ["".join(by[1].formatted[s.start:s.start + s.length]) for s in by[1].loss_spans]
     assert len(spans) == 2 and spans[0].replace("\\b", "[").replace("\\l", "<").replace("\\e", "\\") == nasty
     d = {r.conv_id: r for r in chat_format.digests(out).collect()}
+    # the loss is read through the mask: another mask, another digest
+    moved = out.withColumn("loss_spans", F.transform("loss_spans", lambda s: F.struct((s["start"] + 1).alias("start"), s["length"])))
+    assert all(r.loss_sha256 != d[r.conv_id].loss_sha256 for r in chat_format.digests(moved).collect() if d[r.conv_id].loss_chars)
     assert d[1].loss_sha256 == hashlib.sha256(nasty.encode()).hexdigest() and d[1].loss_chars == len(nasty)
     assert d[1].turns_sha256 == hashlib.sha256(f"user\n{nasty}\nassistant\n{nasty}\nassistant\n\n".encode()).hexdigest()
     assert chat_format.digests(chat_format.format_conversations(turns.limit(0))).count() == 0
