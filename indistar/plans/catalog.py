@@ -9,6 +9,8 @@ compare exactly across engines; the models themselves are unrounded.
 
 from __future__ import annotations
 
+import os
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,10 +20,10 @@ from indistar.functions.scalars import (blank_to_null, default_label, indicator,
                                         normalize_number_columns, point_lat, point_lon,
                                         stable_round, surrogate_key)
 from indistar.operators import quality, upsert
-from indistar.plans import dims, facts, job, marts, staging
+from indistar.plans import dims, facts, job, mart_state, marts, staging
 from indistar.session import work_dir
 from indistar.sources import ordered, publish
-from indistar.sources.contract import RAW_COLUMNS, JobParams
+from indistar.sources.contract import CSV_URI_ENV, RAW_COLUMNS, JobParams
 from indistar.sources.csv import read_raw_csv, write_raw_csv
 from indistar.sources.csv_split import read_raw_csv_split
 from indistar.sources.landing import land_raw
@@ -128,6 +130,18 @@ def number_normalise(spark, sf_dir, strip: str = "first"):
         normalize_number_columns(raw, "HighConfidenceLimit", strip=strip).alias("high_ci"))
 
 
+def number_normalise_typed(spark, sf_dir):
+    """The raw limits and amounts as the numbers they are: doubles and integers are taken, not parsed."""
+    line = spark.read.parquet(f"{sf_dir.rstrip('/')}/lineitem.parquet")
+    rows = line.select("l_orderkey", "l_linenumber", F.col("l_extendedprice").cast("double").alias("price"),
+                       F.when(F.col("l_linenumber") % 3 > 0, F.col("l_linenumber").cast("int")).alias("line"),
+                       F.col("l_quantity").cast("decimal(12,2)").alias("quantity"),
+                       F.concat(F.col("l_linenumber").cast("string"), F.lit("%")).alias("share"))
+    return rows.select("l_orderkey", "l_linenumber", normalize_number_columns(rows, "price").alias("price"),
+                       normalize_number_columns(rows, "line", "share").alias("line_or_share"),
+                       normalize_number_columns(rows, "quantity").alias("quantity"))
+
+
 def number_normalise_all(spark, sf_dir):
     """P13 variant: every '%' / ',' removed (the evident intent)."""
     return number_normalise(spark, sf_dir, strip="all")
@@ -318,6 +332,48 @@ def adhoc_sql(spark, sf_dir):
     return publish.adhoc_sql(spark, uris, ADHOC_QUERY)
 
 
+TABLES_QUERY = """
+select s.indicator_name, s.year, o.n_obs, count(*) as n_states, sum(s.record_count) as n_records
+from {state} s join {overall} o on s.indicator_name = o.indicator_name and s.year = o.year
+where s.year >= 1995 and o.n_obs > 1
+group by s.indicator_name, s.year, o.n_obs
+"""
+
+
+def adhoc_tables(spark, sf_dir):
+    """Two published marts joined as catalogued external tables, with statistics for the planner."""
+    _, uris = _published(spark, sf_dir)
+    tag = uuid.uuid4().hex[:8]  # the catalog belongs to the session, and other queries may run in it
+    names = {n: f"{n}_{tag}" for n in ("agg_indicator_year_state", "agg_indicator_year_overall")}
+    publish.register_tables(spark, {t: uris[n] for n, t in names.items()})
+    return spark.sql(TABLES_QUERY.format(state=names["agg_indicator_year_state"],
+                                         overall=names["agg_indicator_year_overall"]))
+
+
+def _mart_state(spark, sf_dir) -> DataFrame:
+    """States after two batches: the years to 2000, then the years from 2000 on, restated."""
+    root = work_dir(spark, "mart_state")
+    year = F.col("year")
+    mart_state.apply_batch(_staged(spark, sf_dir).where(year <= 2000), root)
+    mart_state.apply_batch(_staged(spark, sf_dir, strip="all").where(year >= 2000), root)
+    return mart_state.read_state(spark, root)
+
+
+def mart_trend_from_state(spark, sf_dir):
+    """M15 kept up to date by mergeable states: as a full rebuild after both batches."""
+    m = mart_state.trend(_mart_state(spark, sf_dir))
+    return m.select(*TREND_KEYS, stable_round("avg_value").alias("avg_value"),
+                    stable_round("stddev_value").alias("stddev_value"), "n_obs")
+
+
+def mart_year_state_from_state(spark, sf_dir):
+    """M17 kept up to date by mergeable states."""
+    m = mart_state.year_state(_mart_state(spark, sf_dir))
+    return m.select("year", "state", "state_name", "indicator_name",
+                    stable_round("avg_value").alias("avg_value"), "record_count",
+                    stable_round("avg_low_ci").alias("avg_low_ci"), stable_round("avg_high_ci").alias("avg_high_ci"))
+
+
 def published_inventory(spark, sf_dir):
     """What was published, per mart; sizes vary by writer, so it says whether files and
     bytes were listed, and the rows that reading the mart back gives."""
@@ -404,6 +460,26 @@ def mart_trend_ordered(spark, sf_dir):
     return ordered.read_ordered(spark, path).select("position", *TREND_KEYS, "n_obs")
 
 
+def input_precedence(spark, sf_dir):
+    """The path given to a run, then the environment's, and the rows that each leads to."""
+    root = work_dir(spark, "precedence")
+    raw = raw_from_star(spark, sf_dir)
+    year = F.col("YearStart")
+    for name, rows in (("run", raw.where(year <= "1994")), ("environment", raw.where(year > "1994"))):
+        write_raw_csv(rows, f"{root}/{name}")
+    out, before = None, os.environ.get(CSV_URI_ENV)
+    os.environ[CSV_URI_ENV] = f"{root}/environment"
+    try:
+        for wins, given in (("run", f"{root}/run"), ("environment", None)):
+            one = read_raw_csv_split(spark, JobParams(csv_uri=given).resolved_csv_uri()).agg(
+                F.lit(wins).alias("wins"), F.count(F.lit(1)).alias("n_rows"), F.min(year).alias("first_year"),
+                F.max(year).alias("last_year"))
+            out = one if out is None else out.unionByName(one)
+    finally:
+        os.environ.pop(CSV_URI_ENV) if before is None else os.environ.update({CSV_URI_ENV: before})
+    return out
+
+
 def incremental_from_csv(spark, sf_dir):
     """Runs over a folder that gains CSV files; per run, whether files were read, and the facts after it."""
     root = work_dir(spark, "incremental")
@@ -471,6 +547,7 @@ def queries() -> dict[str, Query]:
         "mart_year_state": mart_year_state,
         "number_normalise": number_normalise,
         "number_normalise_all": number_normalise_all,
+        "number_normalise_typed": number_normalise_typed,
         "blank_to_null": blank_to_null_counts,
         "point_lon_lat": point_lon_lat,
         "indicator_name": indicator_name,
@@ -483,6 +560,9 @@ def queries() -> dict[str, Query]:
         "upsert_touched_buckets": upsert_touched_buckets,
         "publish_roundtrip": publish_roundtrip,
         "adhoc_sql": adhoc_sql,
+        "adhoc_tables": adhoc_tables,
+        "mart_trend_from_state": mart_trend_from_state,
+        "mart_year_state_from_state": mart_year_state_from_state,
         "published_inventory": published_inventory,
         "dq_not_null": dq_not_null,
         "dq_unique": dq_unique,
@@ -492,6 +572,7 @@ def queries() -> dict[str, Query]:
         "dq_report_broken": dq_report_broken,
         "mart_trend_ordered": mart_trend_ordered,
         "incremental_from_csv": incremental_from_csv,
+        "input_precedence": input_precedence,
         "whole_job_from_csv": whole_job_from_csv,
     })
     return out

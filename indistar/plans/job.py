@@ -15,7 +15,8 @@ Materialisation plan (what is written, and why):
 
 Every intermediate is a written table in the work folder (never a local
 checkpoint), so a lost executor costs a task retry, not a recomputation
-from the source, and lineage stays short.
+from the source, and lineage stays short. Every write is a recorded step: a job that was killed
+goes on, when it is run again, with the first step that had not finished.
 """
 
 from __future__ import annotations
@@ -23,15 +24,17 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from indistar.operators import quality, upsert
 from indistar.operators.quality import Check
 from indistar.plans import dims, facts, marts, staging
-from indistar.sources import fs, ledger, publish
+from indistar.plans.steps import Steps
+from indistar.sources import fs, ledger, publish, versions
 from indistar.sources.contract import JobParams
 from indistar.sources.csv import read_raw_csv
 from indistar.sources.csv_split import read_raw_csv_split
@@ -105,7 +108,7 @@ def build_models(clean_df: DataFrame, dim_tables: dict[str, DataFrame] | None =
     return models
 
 
-def _in_parallel(tasks: dict[str, Callable[[], str]], workers: int = 4) -> dict[str, str]:
+def _in_parallel(tasks: dict[str, Callable], workers: int = 4) -> dict:
     """Run independent Spark actions concurrently (one job per thread).
 
     The scheduler interleaves their tasks on the executors: many small
@@ -117,13 +120,6 @@ def _in_parallel(tasks: dict[str, Callable[[], str]], workers: int = 4) -> dict[
         return {name: fut.result() for name, fut in futures.items()}
 
 
-def _writer(df: DataFrame, path: str) -> Callable[[], str]:
-    def go() -> str:
-        df.write.mode("overwrite").parquet(path)
-        return path
-    return go
-
-
 @dataclass
 class JobResult:
     landed: str
@@ -134,35 +130,43 @@ class JobResult:
     report: DataFrame
     inventory: DataFrame
     landed_now: bool = True
+    steps: list[str] = field(default_factory=list)   # what this run has done itself
 
 
 def materialize(spark: SparkSession, clean_df: DataFrame, work_root: str,
-                facts_too: bool = True, target: tuple[str, str | None] | None = None
-                ) -> tuple[dict[str, DataFrame], dict[str, str]]:
+                facts_too: bool = True, target: tuple[str, str | None] | None = None,
+                steps: Steps | None = None) -> tuple[dict[str, DataFrame], dict[str, str]]:
     """Write dimensions, then marts (and fact upserts), each once; read them back.
 
     Returns the models (written ones replaced by their read-back tables) and
     the written paths. Dimensions are written first so the mart join sees
     their real size; the independent writes of one level run concurrently.
     Marts are staged under ``target`` (root, prefix), where a commit publishes them without
-    another write, or else under the work root.
+    another write, or else under the work root. Every write is a step (:mod:`indistar.plans.steps`).
     """
     work_root = work_root.rstrip("/")
+    steps = steps or Steps(spark, work_root)
     root, prefix = target or (work_root, "marts")
-    paths = _in_parallel({name: _writer(fn(clean_df), f"{work_root}/{name}")
-                          for name, fn in dims.ALL.items()})
-    models = build_models(clean_df, {name: spark.read.parquet(p) for name, p in paths.items()})
+    staged = ("stg_clean",) if "stg_clean" in steps.prints else ()
+
+    def dimension(name: str) -> Callable[[], DataFrame]:
+        return lambda: steps.write(name, lambda: dims.ALL[name](clean_df), after=staged)
+
+    written = _in_parallel({name: dimension(name) for name in dims.ALL})
+    models = build_models(clean_df, written)
 
-    def staged(name: str) -> Callable[[], str]:
-        return lambda: publish.stage(models[name], root, prefix, name)
+    def mart(name: str) -> Callable[[], str]:
+        return lambda: steps.call(name, lambda: publish.stage(models[name], root, prefix, name), [root, prefix],
+                                  (*staged, *dims.ALL))
 
-    def upserted(name: str, key: str) -> Callable[[], str]:
-        return lambda: upsert.upsert(models[name], f"{work_root}/{name}", key, facts.CLUSTER)
+    def fact(name: str, key: str) -> Callable[[], str]:
+        return lambda: steps.call(name, lambda: upsert.upsert(models[name], f"{work_root}/{name}", key, facts.CLUSTER),
+                                  after=staged)
 
-    writes = {name: staged(name) for name in MART_NAMES}
+    writes = {name: mart(name) for name in MART_NAMES}
     if facts_too:
-        writes |= {name: upserted(name, key) for name, key in facts.KEYS.items()}
-    paths.update(_in_parallel(writes))
+        writes |= {name: fact(name, key) for name, key in facts.KEYS.items()}
+    paths = {name: steps.path(name) for name in dims.ALL} | _in_parallel(writes)
     models.update({name: spark.read.parquet(paths[name]) for name in MART_NAMES})
     if facts_too:
         models.update({name: upsert.read_current(spark, paths[name]) for name in facts.KEYS})
@@ -208,28 +212,26 @@ def run(spark: SparkSession, params: JobParams, work_root: str,
     landed_df, landed_now = land_raw(source, f"{work_root}/raw", force=params.force_landing,
                                      spark=spark)                     # N03/N04
 
-    staged_path = f"{work_root}/stg_clean"
-    staging.clean(landed_df, strip=params.strip).write.mode("overwrite").parquet(staged_path)
-    clean_df = spark.read.parquet(staged_path)
+    steps = Steps(spark, work_root)
+    landing = versions.current_path(spark, f"{work_root}/raw")
+    clean_df = steps.write("stg_clean", lambda: staging.clean(landed_df, strip=params.strip), [landing, params.strip])
 
     root = params.resolved_output_root() or f"{work_root}/published"
     prefix = params.resolved_output_prefix()
-    models, paths = materialize(spark, clean_df, work_root, target=(root, prefix))
+    models, paths = materialize(spark, clean_df, work_root, target=(root, prefix), steps=steps)
     staged = {n: paths[n] for n in MART_NAMES}
-    try:
-        report = quality.run_checks(models, DECLARED_CHECKS)          # D01-D05
-        report_path = f"{work_root}/dq_report"
-        report.write.mode("overwrite").parquet(report_path)
-        report = spark.read.parquet(report_path)
-        if fail_on_dq:
-            quality.assert_passed(report)
-        published = publish.commit(spark, root, prefix, staged)       # N06/N09/N10
-    except BaseException:
+    made = (*dims.ALL, *facts.KEYS, *MART_NAMES)
+    report = steps.write("dq_report", lambda: quality.run_checks(models, DECLARED_CHECKS), after=made)  # D01-D05
+    if fail_on_dq and not report.where(~F.col("passed")).isEmpty():
         publish.discard(spark, staged.values())                       # the marts before stay
-        raise
+        steps.close()
+        quality.assert_passed(report)
+    published = steps.call("publish", lambda: publish.commit(spark, root, prefix, staged),  # N06/N09/N10
+                           after=("dq_report",))
+    steps.close()
     inv = publish.inventory(spark, root, prefix)                      # N11
-    return JobResult(landed=f"{work_root}/raw", staged=staged_path,
+    return JobResult(landed=f"{work_root}/raw", staged=steps.path("stg_clean"),
                      dims={n: paths[n] for n in dims.ALL},
                      facts={n: paths[n] for n in facts.KEYS},
                      published=published, report=report, inventory=inv,
-                     landed_now=landed_now)
+                     landed_now=landed_now, steps=list(steps.done))

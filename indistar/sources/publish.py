@@ -123,6 +123,22 @@ def adhoc_sql(spark: SparkSession, tables: Mapping[str, str | DataFrame], query:
     return spark.sql(query)
 
 
+def register_tables(spark: SparkSession, uris: Mapping[str, str], statistics: bool = True) -> list[str]:
+    """The published marts as external tables of the session's catalog, with statistics.
+
+    A table points at the folder that is published now; its row count and its columns' statistics are computed once
+    (a pass over the mart) and let the planner estimate joins and filters (``spark.sql.cbo.enabled``).
+    Register again after a publish.
+    """
+    for name, uri in uris.items():
+        folder = current_path(spark, uri).replace("'", "\\'")
+        spark.sql(f"DROP TABLE IF EXISTS `{name}`")
+        spark.sql(f"CREATE TABLE `{name}` USING parquet LOCATION '{folder}'")
+        if statistics:
+            spark.sql(f"ANALYZE TABLE `{name}` COMPUTE STATISTICS FOR ALL COLUMNS")
+    return list(uris)
+
+
 def inventory(spark: SparkSession, root: str, prefix: str | None = None) -> DataFrame:
     """Files published under the prefix, aggregated per mart.
 

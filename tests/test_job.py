@@ -4,7 +4,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from indistar.operators import quality, upsert
-from indistar.plans import job
+from indistar.plans import job, staging
+from indistar.plans.job import MART_NAMES
+from indistar.plans.steps import FOLDER, Steps
 from indistar.sources import fs, manifest, publish
 from indistar.sources.contract import JobParams
 from indistar.sources.star import raw_from_star
@@ -40,3 +42,35 @@ def test_failing_checks_leave_the_published_marts(spark, tmp_path):
     assert publish.current_path(spark, uri) == folder and publish.read_mart(spark, uri).count() == before
     # what the failed run had staged is gone, and every mart has one folder
     assert [f for f in fs.list_dirs(spark, uri)] == [folder.rsplit("/", 1)[1]]
+
+
+@pytest.mark.parametrize("finished", [1, 8, 13])
+def test_killed_job_goes_on_where_it_stopped(spark, tmp_path, monkeypatch, finished):
+    work, params = str(tmp_path / "work"), JobParams(output_prefix="marts")
+    raw = raw_from_star(spark, "/root/testdata/sf0.001")
+    real, names = Steps._finish, []
+
+    def dies(self, name, *rest):
+        if len(names) >= finished:
+            raise KeyboardInterrupt("killed")  # its output is written, and recorded nowhere
+        names.append(name)
+        real(self, name, *rest)
+    monkeypatch.setattr(Steps, "_finish", dies)
+    with pytest.raises(KeyboardInterrupt):
+        job.run(spark, params, work, raw=raw)
+    monkeypatch.setattr(Steps, "_finish", real)
+    res = job.run(spark, params, work, raw=raw)
+    assert not set(res.steps) & set(names) and len(res.steps) + len(names) == 7 + 2 + 4 + 3
+    assert res.report.where(~F.col("passed")).count() == 0
+    want = job.build_models(staging.clean(raw))
+    tables = {n: spark.read.parquet(p) for n, p in res.dims.items()}
+    tables |= {n: publish.read_mart(spark, u) for n, u in res.published.items()}
+    tables |= {n: upsert.read_current(spark, p) for n, p in res.facts.items()}
+    for name, df in tables.items():
+        assert df.count() == want[name].count(), name
+    # nothing of the killed run is left over
+    for n in MART_NAMES:
+        assert len(fs.list_dirs(spark, res.published[n])) == 1
+    for n in (*res.dims, "stg_clean", "dq_report"):
+        assert len(fs.list_dirs(spark, f"{work}/{FOLDER}/{n}")) == 1
+    assert len(job.run(spark, params, work, raw=raw).steps) == 16  # a new run does everything anew
