@@ -465,7 +465,7 @@ def input_precedence(spark, sf_dir):
     root = work_dir(spark, "precedence")
     raw = raw_from_star(spark, sf_dir)
     year = F.col("YearStart")
-    for name, rows in (("run", raw.where(year <= "1994")), ("environment", raw.where(year > "1994"))):
+    for name, rows in (("run", raw.where(year <= "1997")), ("environment", raw.where(year > "1997"))):
         write_raw_csv(rows, f"{root}/{name}")
     out, before = None, os.environ.get(CSV_URI_ENV)
     os.environ[CSV_URI_ENV] = f"{root}/environment"
