@@ -18,7 +18,7 @@ import numpy as np
 #: Texts taken at a time: so many characters (or one longer text).
 GROUP_CHARS = 2_000_000
 #: The memo is full beyond so many words or ids.
-MEMO_WORDS, MEMO_IDS = 600_000, 6_000_000
+MEMO_WORDS, MEMO_IDS = 900_000, 8_000_000
 
 
 def groups(texts: Sequence[str], chars: int = GROUP_CHARS) -> Iterator[tuple[int, int]]:
@@ -194,7 +194,8 @@ class WordEndEncoder:
 
     def __call__(self, words: list[str]) -> list[Sequence[int]]:
         made: dict[str, Sequence[int]] = {}
-        plain = [w for w in words if _UNIT.fullmatch(w) and not _OTHER.search(w)]
+        # letters only, or one unit: whatever else they turn out to be, the marks are counted below
+        plain = [w for w in words if w.isalpha() or _UNIT.fullmatch(w) and not _OTHER.search(w)]
         for i in range(0, len(plain), 2000):
             made.update(zip(plain[i:i + 2000], self._units(plain[i:i + 2000]), strict=True))
         rest = [w for w in words if w not in made]
