@@ -147,7 +147,7 @@ def number_normalise_all(spark, sf_dir):
     return number_normalise(spark, sf_dir, strip="all")
 
 
-# Columns the clean model blanks to NULL (P11), raw name -> output name.
+# The raw columns that the clean model blanks to NULL.
 BLANKED = ("Response", "DataValueUnit", "DataValueFootnoteSymbol", "DataValueFootnote",
            "LocationID", "TopicID", "QuestionID", "ResponseID", "DataValueTypeID",
            "StratificationCategory2", "Stratification2", "StratificationCategory3",

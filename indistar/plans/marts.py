@@ -24,7 +24,10 @@ from indistar.functions.scalars import default_label, indicator
 
 def norm_question(normalized_df: DataFrame, dim_question: DataFrame,
                   dim_topic: DataFrame) -> DataFrame:
-    """Observations with question and topic text."""
+    """Observations with question and topic text.
+
+    Fixed values: the mart's column names, ``footnote_symbole`` as it is spelt there.
+    """
     b = normalized_df.alias("b")
     q = dim_question.alias("q")
     t = dim_topic.alias("t")

@@ -14,7 +14,8 @@ its first line is odd. (A doubled quote inside a field counts two, so it does no
    together along the file.
 4. *Parse.* Every record is parsed by Spark's own CSV parser, strictly.
 
-So a file is read twice and its rows are never shuffled. Files must be UTF-8 and lines end with ``\\n`` or
+So a file's lines are scanned three times (counted, cut to whole records, cut to pieces) by as many
+tasks as it has ranges, and its rows are never shuffled. Files must be UTF-8 and lines end with ``\\n`` or
 ``\\r\\n``; inside quoted fields both stay as they are. The first record of every file is its header, and all
 files must have the same one. An unclosed quote raises, and so does a row with too many or too few
 fields. Empty lines outside of quotes are skipped, as Spark's reader does. Compressed
