@@ -61,11 +61,14 @@ def segments(weights: list[tuple[int, float]], drift: float) -> list[tuple[float
     """All maximal-scoring segments (score, first token, token after the last), in order.
 
     ``weights`` are (position, weight) of the tokens that do not cost ``drift``; the cost of
-    the tokens between them is implied, so the scan is linear in the hits. Candidates are
-    held on a stack with the cumulative score before and after them; a new hit is
-    merged leftwards into the nearest candidate that started lower, as long as that gains.
+    the tokens between them is implied. Candidates are held on a stack with the cumulative score
+    before and after them, and a link to the nearest candidate below that started lower. A new hit is merged
+    leftwards into the nearest candidate that started lower, as long as that gains; the links lead
+    there, so every candidate is passed once and the scan is linear in the hits. Where no candidate started
+    lower, all of them are final.
     """
-    stack: list[list] = []  # [score before, score after, first, end]
+    done: list[tuple[float, int, int]] = []
+    stack: list[list] = []  # [score before, score after, first, end, link]
     total, at = 0.0, 0
     for pos, w in weights:
         total += (pos - at) * drift
@@ -73,17 +76,23 @@ def segments(weights: list[tuple[int, float]], drift: float) -> list[tuple[float
         before, total = total, total + w
         if w <= 0:
             continue
-        new = [before, total, pos, pos + 1]
+        new, j = [before, total, pos, pos + 1, -1], len(stack) - 1
         while True:
-            j = len(stack) - 1
             while j >= 0 and stack[j][0] >= new[0]:
-                j -= 1
-            if j < 0 or stack[j][1] >= new[1]:
+                j = stack[j][4]
+            if j < 0:
+                done += [(s[1] - s[0], s[2], s[3]) for s in stack]
+                stack = [new]
+                break
+            if stack[j][1] >= new[1]:
+                new[4] = j
                 stack.append(new)
                 break
-            new = [stack[j][0], new[1], stack[j][2], new[3]]
+            low = stack[j]
+            new = [low[0], new[1], low[2], new[3], -1]
             del stack[j:]
-    return [(s[1] - s[0], s[2], s[3]) for s in stack]
+            j = low[4]
+    return done + [(s[1] - s[0], s[2], s[3]) for s in stack]
 
 
 @dataclass

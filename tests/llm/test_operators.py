@@ -443,6 +443,17 @@ def test_chat_parts(spark):
     assert r.expanded_tokens == 810
 
 
+def test_segments_are_linear_in_the_hits():
+    import time
+
+    rng = random.Random(4)
+    for every, weight in ((10, 3.0), (3, 2.0), (1, 0.5)):  # far apart, now and then merging, all merging
+        hits = [(i * every, rng.uniform(0.5, 1.5) * weight) for i in range(200_000)]
+        t = time.process_time()
+        assert toxicity.segments(hits, -0.7)
+        assert time.process_time() - t < 5
+
+
 def test_segments_match_brute_force():
     """Every maximal-scoring segment, against the definition by recursion on the best segment."""
     rng = random.Random(12)
