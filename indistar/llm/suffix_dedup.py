@@ -427,7 +427,10 @@ def find_spans(rows: DataFrame) -> DataFrame:
 
 
 def report(docs: DataFrame) -> DataFrame:
-    """Per document: doc_id, n_bytes, n_removed, n_spans, kept_sha256 of the remaining bytes."""
+    """Per document: doc_id, n_bytes, n_removed, n_spans, kept_sha256 of the remaining bytes, n_repeated.
+
+    ``n_repeated`` counts the bytes that repeated strings cover; here all of them are removed.
+    """
     rows = with_row_key(id_text(docs))
     return span_report(join_keys(rows, find_spans(rows), "_row", "left", F.size("_spans")), "_spans") \
-        .select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+        .select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", F.col("n_removed").alias("n_repeated"))
