@@ -73,7 +73,7 @@ def test_empty_and_null_batches(spark, tmp_path):
     assert sorted(r.v for r in upsert.read_current(spark, root).collect()) == [1, 2, 3]
 
 
-def test_hot_key_third_of_rows_stays_exact(spark):
+def test_hot_key_third_of_rows_stays_exact(spark, tmp_path):
     """One key holds a third of all rows; the sort-merge anti join is split by AQE."""
     from pyspark.sql import functions as F
 
@@ -92,8 +92,13 @@ def test_hot_key_third_of_rows_stays_exact(spark):
             F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id")).alias("k"),
             F.lit("old").alias("v"))
         batch = spark.range(0, 3000, 7).select(F.col("id").alias("k"), F.lit("new").alias("v"))
+        for name, df in (("old", old), ("batch", batch)):
+            df.write.parquet(str(tmp_path / name))
+        old, batch = (spark.read.parquet(str(tmp_path / name)) for name in ("old", "batch"))
         merged = upsert.merge_batch(old, batch, "k")
-        got = {r.v: r.n for r in merged.groupBy("v").agg(F.count(F.lit(1)).alias("n")).collect()}
+        counted = merged.groupBy("v").agg(F.count(F.lit(1)).alias("n"))
+        got = {r.v: r.n for r in counted.collect()}
+        assert "skew=true" in counted._jdf.queryExecution().executedPlan().toString()  # the hot key was split
         batch_keys = {r.k for r in batch.collect()}
         kept = sum(1 for i in range(n) if (0 if i % 3 == 0 else i) not in batch_keys)
         assert got == {"old": kept, "new": batch.count()}
