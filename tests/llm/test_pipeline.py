@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from indistar.llm import decontamination, mixing, quality_rules, sharding
+from indistar.llm.common import materialize
 
 CLASHING = ("_n_words", "_host", "_id", "_copied", "_text", "_row", "_spans", "_p0", "_tokens", "_copies", "slot", "Shard",
             "_slot", "node", "component", "_kept", "host")
@@ -22,6 +23,11 @@ def corpus(spark, tmp_path_factory):
     """Kept texts, exact and edited copies, leaked benchmark items, short texts, a bad host, nulls."""
     rng = random.Random(11)
     base = [_words(rng, 150) for _ in range(30)]
+    for i in range(30):  # domains that a classifier can tell apart
+        w = base[i].split()
+        w[::6] = [rng.choice(["vile", "nasty", "hateful"]) if i % 5 == 4 else str(rng.randint(100, 999)) if i % 3 == 1 else x
+                  for x in w[::6]]
+        base[i] = " ".join(w)
     items = [_words(rng, 25) for _ in range(4)]
     edited = base[1].split()
     edited[75] = "changed"
@@ -35,14 +41,16 @@ def corpus(spark, tmp_path_factory):
                                  "doc_id long, text string, lang string, source string, n_chars long")
     docs.select("*", *(F.lit(f"extra {c}").alias(c) for c in CLASHING)).write.parquet(f"{path}/documents.parquet")
     spark.createDataFrame([(i, t) for i, t in enumerate(items)], "item_id long, text string").write.parquet(f"{path}/benchmark.parquet")
-    spark.createDataFrame([(i, i % 2, 0) for i in range(30)], "doc_id long, quality int, toxic int").write.parquet(f"{path}/labels.parquet")
+    spark.createDataFrame([(i, int(i % 3 != 1), int(i % 5 == 4)) for i in range(30)], "doc_id long, quality int, toxic int").write.parquet(f"{path}/labels.parquet")
     return path, rows, items
 
 
-def _stages(spark, path):
+@pytest.fixture(scope="module")
+def stages(spark, corpus):
+    path = corpus[0]
     docs, out = spark.read.parquet(f"{path}/documents.parquet"), []
-    for _, stage in corpus_pipeline.STAGES:
-        docs = stage(spark, docs, path)
+    for name, stage in corpus_pipeline.STAGES:
+        docs = materialize(stage(spark, docs, path), f"test-{name}")
         out.append(docs)
     return out
 
@@ -52,10 +60,9 @@ def _shingles(text):
     return {tuple(w[i:i + 5]) for i in range(len(w) - 4)}
 
 
-def test_stages_match_plain_python(spark, corpus):
+def test_stages_match_plain_python(spark, corpus, stages):
     path, rows, items = corpus
     names = spark.read.parquet(f"{path}/documents.parquet").columns
-    stages = _stages(spark, path)
     kept = [[(r["doc_id"], r["text"]) for r in s.select("doc_id", "text").collect()] for s in stages]
     assert all(s.columns == names for s in stages[:4])
 
@@ -85,10 +92,8 @@ def test_stages_match_plain_python(spark, corpus):
     assert all(table[r[added[0]]] == r[added[1]] for r in last)
 
 
-def test_run_writes_every_stage(spark, corpus):
-    path, *_ = corpus
-    got = corpus_pipeline.run(spark, path)
-    want = _stages(spark, path)[-1]
+def test_run_gives_the_last_stage(spark, corpus, stages):
+    got, want = corpus_pipeline.run(spark, corpus[0]), stages[-1]
     key = lambda rows: Counter(tuple(r) for r in rows)
     assert key(got.collect()) == key(want.collect()) and got.count() > 0
 
