@@ -132,6 +132,10 @@ def as_long(x: np.ndarray) -> np.ndarray:
     return x.view(np.int64)
 
 
+#: Rows of a batch that are turned into Python values at a time.
+SLICE = 1024
+
+
 def append_columns(df: DataFrame, source: str, fields: T.StructType,
                    compute: Callable[[list], Sequence], keep_source: bool = True) -> DataFrame:
     """``df`` with ``fields`` added, computed batch by batch from the column ``source``.
@@ -148,9 +152,12 @@ def append_columns(df: DataFrame, source: str, fields: T.StructType,
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            new = compute(b.column(b.schema.get_field_index(source)).to_pylist())
+            values = b.column(b.schema.get_field_index(source))
+            # some rows at a time, so that a batch of long texts is never held as Python values as a whole
+            new = [[pa.array(x, type=f.type) for x, f in zip(compute(values.slice(i, SLICE).to_pylist()), added, strict=True)]
+                   for i in range(0, max(b.num_rows, 1), SLICE)]
             cols = [*(b.column(b.schema.get_field_index(n)) for n in names),
-                    *(pa.array(x, type=f.type) for x, f in zip(new, added, strict=True))]
+                    *(pa.concat_arrays(x) for x in zip(*new, strict=True))]
             yield pa.RecordBatch.from_arrays(cols, names=[*names, *(f.name for f in added)])
 
     return df.mapInArrow(run, T.StructType([*kept, *fields.fields]))
