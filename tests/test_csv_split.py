@@ -74,3 +74,16 @@ def test_strictness(spark, tmp_path):
     (tmp_path / "good" / "y.csv").write_text("Extra," + head + "\n", encoding="utf-8")
     with pytest.raises(ContractError, match="different headers"):
         csv_split.read_raw_csv_split(spark, str(tmp_path / "good"))
+
+
+def test_records_are_parsed_once_and_pieces_hold_no_whole_record(spark, tmp_path):
+    _write(tmp_path / "a.csv", [["2019", "x\ny"] + ["1"] * (len(RAW_COLUMNS) - 2)] * 5, "\n")
+    rows = csv_split.read_raw_csv_split(spark, str(tmp_path))
+    filtered = rows.where("DataValue = '1' and Topic = '1'")._jdf.queryExecution().optimizedPlan().toString()
+    assert filtered.count("from_csv(") == 1
+    lines = csv_split._lines(spark, str(tmp_path))
+    cut = lines.selectExpr("file", "block", "0 AS odd", "value")
+    whole = cut.mapInArrow(csv_split._whole, csv_split._CUT_SCHEMA).collect()
+    assert sorted((r["kind"], r["first"]) for r in whole if r["text"]) == [(csv_split.WHOLE, False)] * 5 + [(csv_split.WHOLE, True)]
+    assert cut.mapInArrow(csv_split._pieces, csv_split._CUT_SCHEMA).count() == 0
+    assert [r["line"] for r in csv_split.range_parity(lines).collect()] == [",".join(RAW_COLUMNS)]
