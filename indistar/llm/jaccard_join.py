@@ -34,8 +34,8 @@ null id take part: their component's id is the smallest id in it, null if there
 empty table gives an empty result; extra columns are ignored.
 
 Scale: signatures are the largest data, about 0.5 per shingle of a distinct set, shuffled
-once as two longs. Texts are never shuffled while the list of nodes that share a bucket is
-short enough to broadcast (counted first). A bucket is a sorted run of rows that Spark spills, never a list in a
+once as two longs. Later steps read only the texts of listed nodes, told by a 64-bit key of the text.
+Texts are never shuffled while that list is short enough to broadcast (counted first). A bucket is a sorted run of rows that Spark spills, never a list in a
 task; comparisons with the bucket's leader are linear in its rows.
 """
 
@@ -46,7 +46,7 @@ from math import ceil, exp
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
@@ -234,18 +234,18 @@ def _sketch(s: np.ndarray) -> bytes:
 
 
 def _describe(what: str):
-    """A mapInArrow function: (node, text) to (node, size and sketch) or (node, whole set)."""
+    """A mapInArrow function: texts to (node, size and sketch) or (node, whole set)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for i in range(0, whole.num_rows, PART):
-                b = whole.slice(i, PART)
-                sets = list(_sets(b.column("text")))
+                # copies side by side are one
+                sets = list(_sets(list(dict.fromkeys(whole.column("text").slice(i, PART).to_pylist()))))
                 if what == "set":
                     cols = [pa.array([as_long(s) for s in sets], type=pa.list_(pa.int64()))]
                 else:
                     cols = [pa.array([len(s) for s in sets], pa.int64()),
                             pa.array([_sketch(s) for s in sets], pa.binary())]
-                yield pa.RecordBatch.from_arrays([b.column("node"), *cols],
+                yield pa.RecordBatch.from_arrays([pa.array([node_of(s) for s in sets], pa.int64()), *cols],
                                                  names=["node", "set"] if what == "set" else ["node", "size", "sketch"])
     return run
 
@@ -340,14 +340,25 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([b.column("a").filter(good), b.column("b").filter(good)], names=["a", "b"])
 
 
-def _described(texts: DataFrame, nodes: DataFrame, what: str, fields: str) -> DataFrame:
-    """One row per listed node; copies of one set meet again and one of them stays."""
-    rows = join_keys(with_nodes(texts, "n", "node"), nodes, "node", "left_semi").mapInArrow(_describe(what), fields)
+def text_key(text) -> Column:
+    """What tells texts apart without their sets. Texts that share a key by chance are only read for nothing."""
+    return F.xxhash64(text)
+
+
+def _described(texts: DataFrame, known: DataFrame, nodes: DataFrame, what: str, fields: str) -> DataFrame:
+    """One row per listed node; copies of one set meet again and one of them stays.
+
+    Only the texts with the least key of a listed node are read: its set is made from them again.
+    """
+    wanted = materialize(known.join(nodes, "node", "left_semi").groupBy("node").agg(F.min("key").alias("key"))
+                         .select("key").distinct(), "wanted-texts")
+    rows = join_keys(texts.withColumn("key", text_key("text")), wanted, "key", "left_semi") \
+        .select("text").mapInArrow(_describe(what), fields)
     names = rows.columns[1:]
     return materialize(rows.groupBy("node").agg(*(F.first(c).alias(c) for c in names)), what)
 
 
-def _links(pairs: DataFrame, sketches: DataFrame, texts: DataFrame) -> DataFrame:
+def _links(pairs: DataFrame, sketches: DataFrame, texts: DataFrame, known: DataFrame) -> DataFrame:
     """The pairs (a, b) whose whole sets link: sketches rule most others out, sets decide."""
     k = sketches
     near = (pairs.join(k.select(F.col("node").alias("a"), F.col("size").alias("na"), F.col("sketch").alias("ka")), "a")
@@ -355,16 +366,16 @@ def _links(pairs: DataFrame, sketches: DataFrame, texts: DataFrame) -> DataFrame
             .select("a", "b", "na", "nb", "ka", "kb").mapInArrow(_possible, "a long, b long"))
     near = materialize(near, "near")
     nodes = materialize(near.select(F.col("a").alias("node")).union(near.select("b")).distinct(), "near-nodes")
-    sets = _described(texts, nodes, "set", "node long, set array<long>")
+    sets = _described(texts, known, nodes, "set", "node long, set array<long>")
     both = (near.join(sets.select(F.col("node").alias("a"), F.col("set").alias("sa")), "a")
             .join(sets.select(F.col("node").alias("b"), F.col("set").alias("sb")), "b").select("a", "b", "sa", "sb"))
     return materialize(both.mapInArrow(_verify, "a long, b long"), "links")
 
 
-def _probing(shared: DataFrame, sizes: DataFrame) -> DataFrame:
+def _probing(shared: DataFrame, known: DataFrame) -> DataFrame:
     """The rows (sig, node, probe) that can still make a linked pair, written."""
     nodes = shared.select("node").distinct()
-    needs = sizes.join(nodes, "node", "left_semi").distinct().mapInArrow(_needs, "node long, lower boolean, need long")
+    needs = known.select("node", "size").join(nodes, "node", "left_semi").distinct().mapInArrow(_needs, "node long, lower boolean, need long")
     bulk = shared.groupBy("sig").agg(F.count(F.lit(1)).alias("size"))
     own = Window.partitionBy("node", "lower")
     ranked = (shared.join(bulk, "sig").join(needs, ["node", "lower"])
@@ -377,11 +388,11 @@ def _probing(shared: DataFrame, sizes: DataFrame) -> DataFrame:
     return materialize(rows.join(live.select("sig"), "sig", "left_semi"), "members")
 
 
-def node_components(texts: DataFrame, sizes: DataFrame) -> DataFrame:
+def node_components(texts: DataFrame, known: DataFrame) -> DataFrame:
     """(node, component) of every node that links with another; component is a node id.
 
-    ``texts`` has the one column ``text``, without nulls; ``sizes`` is a written list of
-    (node, size), which may repeat nodes.
+    ``texts`` has the one column ``text``, without nulls; ``known`` is a written list of its rows'
+    (node, size, key of the text), which may repeat nodes.
     """
     sigs = texts.mapInArrow(_emit, "sig long, entry long")
     by_sig = Window.partitionBy("sig")
@@ -389,19 +400,19 @@ def node_components(texts: DataFrame, sizes: DataFrame) -> DataFrame:
     shared = (sigs.withColumn("lo", F.min(node).over(by_sig)).withColumn("hi", F.max(node).over(by_sig))
               .where("lo != hi").select("sig", node.alias("node"), (F.col("entry") != node).alias("lower"))
               .distinct())
-    members = _probing(materialize(shared, "buckets"), sizes)
+    members = _probing(materialize(shared, "buckets"), known)
     # the node that shares the most is each bucket's leader
     bulk = members.groupBy("sig").agg(F.count(F.lit(1)).alias("size"))
     weight = materialize(members.join(bulk, "sig").groupBy("node")
                          .agg(F.sum(F.least("size", F.lit(1000))).alias("weight")), "weights")
-    sketches = _described(texts, weight.select("node"), "sketch", "node long, size long, sketch binary")
+    sketches = _described(texts, known, weight.select("node"), "sketch", "node long, size long, sketch binary")
     leader = (members.join(weight, "node").groupBy("sig")
               .agg(F.max(F.struct("weight", "node", "probe")).alias("lead")))
     stars = materialize(members.join(leader, "sig")
                         .where("node != lead.node and (probe or lead.probe)")
                         .select(F.least("node", "lead.node").alias("a"),
                                 F.greatest("node", "lead.node").alias("b")).distinct(), "star-pairs")
-    links = _links(stars, sketches, texts)
+    links = _links(stars, sketches, texts, known)
     comp = materialize(connected_components(links), "star-components")
 
     # whatever still shares a bucket across components
@@ -422,16 +433,16 @@ def node_components(texts: DataFrame, sizes: DataFrame) -> DataFrame:
     rest = (tiled.repartition("least", spread).drop("least").sortWithinPartitions("sig", "t0", "t1")
             .mapInArrow(_tile_pairs, "a long, b long").distinct())
     rest = materialize(rest.join(stars, ["a", "b"], "left_anti"), "rest-pairs")
-    more = _links(rest, sketches, texts)
+    more = _links(rest, sketches, texts, known)
     return connected_components(links.unionByName(more))
 
 
 def _grouped(docs: DataFrame) -> DataFrame:
-    """Written rows doc_id, n_shingles, node, component (null for the empty set)."""
+    """Rows doc_id, key of the text, n_shingles, node, component (null for the empty set)."""
     ids = id_text(docs)
-    rows = materialize(with_nodes(ids, "n_shingles", "node", keep_text=False), "nodes")
-    sizes = rows.where("node != 0").select("node", F.col("n_shingles").alias("size"))
-    comp = materialize(node_components(ids.select("text"), sizes), "components")
+    rows = materialize(with_nodes(ids.withColumn("key", text_key("text")), "n_shingles", "node", keep_text=False), "nodes")
+    known = rows.where("node != 0").select("node", F.col("n_shingles").alias("size"), "key")
+    comp = materialize(node_components(ids.select("text"), known), "components")
     component = F.when(F.col("node") != 0, F.coalesce("component", "node"))
     return rows.join(comp, "node", "left").withColumn("component", component)
 
@@ -458,15 +469,15 @@ def keep_one(docs: DataFrame) -> DataFrame:
     first = rows.groupBy("component").agg(F.min(order).alias("first"))
     judged = rows.join(first, "component")
     kept = (F.col("first.doc_id").eqNullSafe(F.col("doc_id"))) & (F.col("first.node") == F.col("node"))
-    dropped = materialize(judged.where(~kept).select(F.col("doc_id").alias("_id"), F.col("node").alias("_node"))
-                          .distinct(), "dropped")
-    again = materialize(judged.where(kept).groupBy("doc_id", "node").count().where("count > 1")
-                        .select(F.col("doc_id").alias("_id"), F.col("node").alias("_node")), "repeated")
-    text = docs.withColumn("_text", F.coalesce(F.col("text").cast("string"), F.lit("")))
-    noded = with_nodes(text, "_n", "_own", "_text", keep_text=False).drop("_n")
-    same = (F.col("doc_id").cast("long").eqNullSafe(F.col("_id"))) & (F.col("_own") == F.col("_node"))
+    gone = F.col("doc_id").alias("_id"), F.col("key").alias("_key")
+    dropped = materialize(judged.where(~kept).select(*gone).distinct(), "dropped")
+    twice = judged.where(kept).groupBy(F.col("doc_id").alias("_twice"), F.col("node").alias("_node")).count().where("count > 1")
+    again = materialize(judged.where(kept).join(twice, F.col("doc_id").eqNullSafe(F.col("_twice")) & (F.col("node") == F.col("_node")))
+                        .select(*gone, "_node").distinct(), "repeated")
+    noded = docs.withColumn("_own", text_key(F.coalesce(F.col("text").cast("string"), F.lit(""))))
+    same = (F.col("doc_id").cast("long").eqNullSafe(F.col("_id"))) & (F.col("_own") == F.col("_key"))
     out = join_keys(noded, dropped, same, "left_anti")
     if not again.isEmpty():
-        out = join_keys(out, again, same, "left_anti").unionByName(
-            join_keys(out, again, same, "left_semi").dropDuplicates(["doc_id", "_own"]))
+        out = join_keys(out, again, same, "left_anti").select(*docs.columns).unionByName(
+            join_keys(out, again, same, "inner").dropDuplicates(["_id", "_node"]).select(*docs.columns))
     return out.select(*docs.columns).toDF(*names)

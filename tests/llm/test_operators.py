@@ -85,6 +85,31 @@ def test_jaccard_keeps_one_of_each_group_and_takes_an_empty_table(spark, texts):
     assert jaccard_join.components(docs.limit(0)).count() == 0
 
 
+def test_jaccard_stages_hold_one_python_step(spark, texts, monkeypatch):
+    """Two Python steps in a stage are two workers per core, and hashing all texts again is most of the join's time."""
+    steps, write = {}, jaccard_join.materialize
+
+    def written(df, name):
+        steps.setdefault(name, []).append(df._jdf.queryExecution().executedPlan().toString().count("MapInArrow"))
+        return write(df, name)
+
+    monkeypatch.setattr(jaccard_join, "materialize", written)
+    kept = jaccard_join.keep_one(_docs(spark, texts))
+    assert kept._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 0
+    assert max(n for each in steps.values() for n in each) == 1
+    assert steps["sketch"] and steps["set"] and steps["wanted-texts"]
+
+
+def test_jaccard_keeps_one_of_repeated_rows_with_unlike_texts(spark):
+    """Rows of one id (or none) whose texts differ in white space or case only are one document."""
+    rows = [(1, "a b c d e f", "x"), (1, "A b  c d e f", "y"), (1, "a b c d e f", "z"), (2, "a b c d e  f", "x"),
+            (None, "q r s t u v", "x"), (None, "q r s  t u v", "y"), (3, "lone text of some more words", "x"), (4, "", "x"), (4, None, "x")]
+    kept = [(r.doc_id, (r.text or "").lower().split()) for r in jaccard_join.keep_one(_docs(spark, rows)).collect()]
+    want = [(1, "a b c d e f"), (None, "q r s t u v"), (3, "lone text of some more words")]
+    key = lambda r: (r[0] is None, r[0] or 0)
+    assert sorted(kept, key=key) == sorted([(i, t.split()) for i, t in want] + [(4, []), (4, [])], key=key)
+
+
 def test_jaccard_schemes_find_every_linked_pair():
     """Random pairs at and above the bound share the promised number of buckets in a common scheme."""
     rng = np.random.default_rng(1)
