@@ -12,6 +12,8 @@ from __future__ import annotations
 import re
 from array import array
 from collections.abc import Callable, Iterator, Sequence
+from itertools import repeat
+from string import ascii_letters
 
 import numpy as np
 
@@ -109,13 +111,12 @@ class Memo:
         for t in texts:
             words += self.cut(t)
             ends.append(len(words))
-        codes = list(map(self.index.get, words))
-        new = [i for i, c in enumerate(codes) if c is None]
-        if new:
-            self._learn(list(dict.fromkeys(words[i] for i in new)))
-            for i in new:
-                codes[i] = self.index[words[i]]
-        codes = np.fromiter(codes, dtype=np.int64, count=len(words))
+        codes = np.fromiter(map(self.index.get, words, repeat(-1)), dtype=np.int64, count=len(words))
+        new = np.flatnonzero(codes < 0)
+        if len(new):
+            unknown = [words[i] for i in new.tolist()]
+            self._learn(list(dict.fromkeys(unknown)))
+            codes[new] = np.fromiter(map(self.index.__getitem__, unknown), dtype=np.int64, count=len(unknown))
         met = np.bincount(codes, minlength=len(self.index))
         met[:len(self.met)] += self.met
         self.met, out = met, []
@@ -131,8 +132,8 @@ class Memo:
         return out
 
 
-def json_encoder(path: str, plain_specials: bool, prefix: str = "") -> Callable[[list[str]], list[Sequence[int]]]:
-    """Words, each after ``prefix``, by a tokenizer file; special strings in texts are plain text if asked."""
+def json_tokenizer(path: str, plain_specials: bool):
+    """A tokenizer file's tokenizer; special strings in texts are plain text if asked."""
     import os
 
     os.environ["TOKENIZERS_PARALLELISM"] = "false"  # one task, one core
@@ -140,6 +141,12 @@ def json_encoder(path: str, plain_specials: bool, prefix: str = "") -> Callable[
 
     tokenizer = Tokenizer.from_file(path)
     tokenizer.encode_special_tokens = plain_specials
+    return tokenizer
+
+
+def json_encoder(path: str, plain_specials: bool, prefix: str = "") -> Callable[[list[str]], list[Sequence[int]]]:
+    """Words, each after ``prefix``, by a tokenizer file (see :func:`json_tokenizer`)."""
+    tokenizer = json_tokenizer(path, plain_specials)
     return lambda words: [e.ids for e in tokenizer.encode_batch_fast([prefix + w for w in words],
                                                                      add_special_tokens=False)]
 
@@ -150,6 +157,10 @@ _UNIT = re.compile(rf"'(?:s|t|re|ve|m|ll|d)|[{_LETTER}]+|[0-9]|[!-/:-@\[-`{{-~]+
 _OTHER = re.compile(rf"[^{_LETTER}\t-\r -~]|<\|")
 #: The bytes of Latin-1 that are not other.
 _KNOWN = bytes(i for i in range(256) if not _OTHER.match(chr(i)))
+#: Those of them that are letters or white space.
+_WORDY = bytes(i for i in _KNOWN if chr(i).isalpha() or chr(i).isspace())
+#: Different signs and digits of a text that are set apart one by one.
+FEW_SIGNS, FEW_DIGITS = 4, 10
 
 
 def units(text: str) -> list[str]:
@@ -160,10 +171,21 @@ def units(text: str) -> list[str]:
     may be a special string, are cut at white space only.
     """
     try:
-        other = text.encode("latin-1").translate(None, _KNOWN) or "<|" in text
+        raw = text.encode("latin-1")
     except UnicodeEncodeError:
-        other = _OTHER.search(text)
-    return bare_words(text) if other else _UNIT.findall(text.lower())
+        return bare_words(text) if _OTHER.search(text) else _UNIT.findall(text.lower())
+    if raw.translate(None, _KNOWN) or b"<|" in raw:
+        return bare_words(text)
+    text = text.lower()
+    digits, signs = [], []
+    for c in set(raw.translate(None, _WORDY).decode("latin-1")):
+        (digits if c.isdigit() else signs).append(c)
+    # few signs, none beside another and no apostrophe: all units stand between white space once these are set apart
+    if len(signs) > FEW_SIGNS or len(digits) > FEW_DIGITS or "'" in signs or any(a + b in text for a in signs for b in signs):
+        return _UNIT.findall(text)
+    for c in signs + digits:
+        text = text.replace(c, f" {c} ")
+    return text.split()
 
 
 class WordEndEncoder:
@@ -182,7 +204,11 @@ class WordEndEncoder:
             vocabulary = json.load(f)["model"]["vocab"]
         self.ends = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
         self.ends[[i for piece, i in vocabulary.items() if piece.endswith(self.MARK)]] = True
-        self.whole = json_encoder(path, plain_specials=False)
+        tokenizer = json_tokenizer(path, plain_specials=False)
+        self.whole = lambda words: [e.ids for e in tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+        # small letters of ASCII reach the model as they are, unless an added token is found among them
+        added = any(set(t.content) <= set(ascii_letters + " ") for t in tokenizer.get_added_tokens_decoder().values())
+        self.model = None if added else tokenizer.model
 
     def _units(self, part: list[str]) -> list[Sequence[int]]:
         ids = self.whole([" ".join(part)])[0]
@@ -194,8 +220,11 @@ class WordEndEncoder:
 
     def __call__(self, words: list[str]) -> list[Sequence[int]]:
         made: dict[str, Sequence[int]] = {}
+        if self.model:
+            tokens = self.model.tokenize
+            made = {w: [t.id for t in tokens(w)] for w in words if w.isascii() and w.isalpha() and w.islower()}
         # letters only, or one unit: whatever else they turn out to be, the marks are counted below
-        plain = [w for w in words if w.isalpha() or _UNIT.fullmatch(w) and not _OTHER.search(w)]
+        plain = [w for w in words if w not in made and (w.isalpha() or _UNIT.fullmatch(w) and not _OTHER.search(w))]
         for i in range(0, len(plain), 2000):
             made.update(zip(plain[i:i + 2000], self._units(plain[i:i + 2000]), strict=True))
         rest = [w for w in words if w not in made]

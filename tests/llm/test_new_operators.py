@@ -281,3 +281,15 @@ def test_memo_gives_the_tokenizers_ids(monkeypatch):
                 [e.ids for e in byte.encode_batch([" " + t for t in part], add_special_tokens=False)], piece.encode(part)]
         for (ids, at), w in zip(made, want, strict=True):
             assert [ids[at[i]:at[i + 1]].tolist() for i in range(len(part))] == w
+
+
+def test_plain_units_need_neither_the_pattern_nor_the_whole_tokenizer():
+    rng = random.Random(8)
+    bits = ["word", "Más", "über", "aB", "7", ".", ",", "?", "'", "'s", "..", "-", "\n", "\t", " ", "  ", "ends.", "a,b", "x7y", "\x0b\x0c\r"]
+    texts = ["".join(rng.choice(bits[:k]) for _ in range(rng.randint(0, 40))) for k in (7, 8, 10, 11, 13, len(bits)) for _ in range(300)]
+    assert [tokens.units(t) for t in texts] == [tokens._UNIT.findall(t.lower()) for t in texts]
+    encode = tokens.WordEndEncoder(vocabulary("word_bpe_49k.json"))
+    words = ["".join(rng.choice("abcdefghiklmnorstu") for _ in range(rng.randint(1, 25))) for _ in range(3000)]
+    want = encode.whole(words)
+    encode.whole = lambda rest: [None] * len(rest)  # not for words of small letters
+    assert encode(words) == want
