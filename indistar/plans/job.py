@@ -34,6 +34,7 @@ from indistar.operators import quality, upsert
 from indistar.operators.quality import Check
 from indistar.plans import dims, facts, marts, staging
 from indistar.plans.steps import Steps
+from indistar.session import frees_shuffles
 from indistar.sources import fs, ledger, publish, versions
 from indistar.sources.contract import JobParams
 from indistar.sources.csv import read_raw_csv
@@ -159,14 +160,18 @@ def materialize(spark: SparkSession, clean_df: DataFrame, work_root: str,
         return lambda: steps.call(name, lambda: publish.stage(models[name], root, prefix, name), [root, prefix],
                                   (*staged, *dims.ALL))
 
-    def fact(name: str, key: str) -> Callable[[], str]:
-        return lambda: steps.call(name, lambda: upsert.upsert(models[name], f"{work_root}/{name}", key, facts.CLUSTER),
-                                  after=staged)
+    slices = upsert.slices_of(spark, steps.path("stg_clean")) if staged else 1
+
+    def fact(name: str, key: str) -> str:
+        return steps.call(name, lambda: upsert.upsert(models[name], f"{work_root}/{name}", key, facts.CLUSTER,
+                                                      slices=slices), after=staged)
+
+    def all_facts() -> dict[str, str]:
+        return {name: fact(name, key) for name, key in facts.KEYS.items()}  # one by one: each shuffles whole rows
 
     writes = {name: mart(name) for name in MART_NAMES}
-    if facts_too:
-        writes |= {name: fact(name, key) for name, key in facts.KEYS.items()}
-    paths = {name: steps.path(name) for name in dims.ALL} | _in_parallel(writes)
+    done = _in_parallel(writes | ({"facts": all_facts} if facts_too else {}))
+    paths = {name: steps.path(name) for name in dims.ALL} | done.pop("facts", {}) | done
     models.update({name: spark.read.parquet(paths[name]) for name in MART_NAMES})
     if facts_too:
         models.update({name: upsert.read_current(spark, paths[name]) for name in facts.KEYS})
@@ -202,6 +207,7 @@ def run_incremental(spark: SparkSession, params: JobParams, work_root: str) -> t
     return roots, len(todo.files)
 
 
+@frees_shuffles
 def run(spark: SparkSession, params: JobParams, work_root: str,
         raw: DataFrame | None = None, fail_on_dq: bool = True) -> JobResult:
     """Run the whole job. ``raw`` overrides the CSV input (N02 resolution)."""

@@ -49,7 +49,7 @@ def refresh(spark: SparkSession, root: str) -> int:
     states = _states(upsert._read(spark, source, rows, [p for b in changed for p in rows.entries[b]]), bucket)
     folder = f"{upsert.DATA}/s-{uuid.uuid4().hex[:12]}"
     written = upsert._write(states, target, folder, F.col("_b"))
-    entries.update({b: [written[b]] if b in written else [] for b in changed})
+    entries.update({b: written.get(b, []) for b in changed})
     made_from.update({b: rows.entries[b] for b in changed})
     manifest.commit(spark, target, entries, {"made_from": made_from})
     manifest.vacuum(spark, target, upsert.DATA, keep=2)
