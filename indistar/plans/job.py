@@ -178,6 +178,7 @@ def materialize(spark: SparkSession, clean_df: DataFrame, work_root: str,
     return models, paths
 
 
+@frees_shuffles
 def run_incremental(spark: SparkSession, params: JobParams, work_root: str) -> tuple[dict[str, str], int]:
     """Stage the CSV files that no run has processed yet, and upsert the facts with them.
 
@@ -196,8 +197,9 @@ def run_incremental(spark: SparkSession, params: JobParams, work_root: str) -> t
                 staging.clean(read(spark, todo.files), strip=params.strip).write.parquet(staged)
                 clean_df = spark.read.parquet(staged)
                 rows = {"fact_base": facts.fact_base(clean_df), "fact_strat": facts.fact_strat(facts.strata_long(clean_df))}
-                _in_parallel({n: partial(upsert.upsert, rows[n], roots[n], key, facts.CLUSTER)
-                              for n, key in facts.KEYS.items()})
+                slices = upsert.slices_of(spark, staged)
+                for name, key in facts.KEYS.items():  # one by one: each shuffles whole rows
+                    upsert.upsert(rows[name], roots[name], key, facts.CLUSTER, slices=slices)
             finally:
                 fs.delete(spark, staged)
     except BaseException:

@@ -151,3 +151,16 @@ def test_whole_job_query_packs_its_input_and_leaves_no_shuffles(spark, monkeypat
     clean = catalog.stg_clean(spark, SF)
     assert counts["fact_base"] == clean.count()
     assert counts["fact_strat"] == facts.fact_strat(facts.strata_long(clean)).count()
+
+
+def test_incremental_runs_leave_no_shuffles_and_upsert_one_fact_table_at_a_time(spark, alone, monkeypatch):
+    monkeypatch.setattr(upsert, "SLICE_BYTES", 1)
+    monkeypatch.setattr(upsert, "SLICES", 2)
+    seen, before = _written(spark, monkeypatch), shuffle_files(spark)
+    out = catalog.incremental_from_csv(spark, SF)
+    assert seen == ["gzip"] * 2 and not left(spark, before)
+    assert (alone["most"], alone["calls"], alone["slices"]) == (1, 4, [2] * 4)  # two runs with files, the third had none
+    got = {(r["run"], r["table_name"]): (r["read_files"], r["n_rows"]) for r in out.collect()}
+    rows = catalog.fact_base(spark, SF)
+    early = rows.where("year_start <= 1996").count()
+    assert [got[n, "fact_base"] for n in range(3)] == [(True, early), (True, rows.count()), (False, rows.count())]
