@@ -164,3 +164,27 @@ def test_incremental_runs_leave_no_shuffles_and_upsert_one_fact_table_at_a_time(
     rows = catalog.fact_base(spark, SF)
     early = rows.where("year_start <= 1996").count()
     assert [got[n, "fact_base"] for n in range(3)] == [(True, early), (True, rows.count()), (False, rows.count())]
+
+
+@pytest.mark.parametrize("strata", [False, True])
+def test_upsert_query_frees_what_it_has_used(spark, tmp_path, alone, monkeypatch, strata):
+    folders, put = [], monkeypatch.setattr
+    put(catalog, "work_dir", lambda spark_, name: folders.append(str(tmp_path / f"{len(folders)}-{name}")) or folders[-1])
+    put(upsert, "SLICE_BYTES", 1)
+    put(upsert, "SLICES", 2)
+    real, staged = catalog._staged, []
+
+    def staged_alone(*args, **kwargs):
+        staged.append([p.name for p in tmp_path.iterdir() if "stg_clean" in p.name])
+        return real(*args, **kwargs)
+    put(catalog, "_staged", staged_alone)
+    before = shuffle_files(spark)
+    got = (catalog.upsert_fact_strat if strata else catalog.upsert_fact_base)(spark, SF)
+    assert staged == [[], []] and not left(spark, before)  # a batch is staged when the one before has gone
+    key = facts.KEYS["fact_strat" if strata else "fact_base"]
+    assert [p.name for p in tmp_path.iterdir()] == [f"0-{key}"] and alone["slices"] == [2] * 3
+    first, every = catalog.stg_clean(spark, SF), catalog._clean(spark, SF, strip="all")
+    make = (lambda c: facts.fact_strat(facts.strata_long(c))) if strata else facts.fact_base
+    new = make(every.where("year >= 2000"))
+    want = make(first.where("year <= 2000")).join(new.select(key), key, "left_anti").unionByName(new)
+    assert got.count() == want.count() and got.exceptAll(want).isEmpty()
