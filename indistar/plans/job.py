@@ -199,7 +199,7 @@ def run_incremental(spark: SparkSession, params: JobParams, work_root: str) -> t
                 rows = {"fact_base": facts.fact_base(clean_df), "fact_strat": facts.fact_strat(facts.strata_long(clean_df))}
                 slices = upsert.slices_of(spark, staged)
                 for name, key in facts.KEYS.items():  # one by one: each shuffles whole rows
-                    upsert.upsert(rows[name], roots[name], key, facts.CLUSTER, slices=slices)
+                    upsert.upsert(rows[name], roots[name], key, facts.CLUSTER, upsert.CLUSTERS, upsert.PER_CLUSTER, slices)
             finally:
                 fs.delete(spark, staged)
     except BaseException:
